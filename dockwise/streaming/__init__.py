@@ -1,0 +1 @@
+"""Incremental ingestion of snapshot and trip files with Structured Streaming."""
