@@ -69,20 +69,19 @@ def unplug_timestamp(col: str | Column = "unplug_hourTime") -> Column:
     Parsed as TIMESTAMP_NTZ so the session time zone never shifts it.
     """
     c = F.col(col) if isinstance(col, str) else col
-    return F.to_timestamp_ntz(F.left(c, F.length(c) - F.lit(1)))
+    # One reference to `c`: filters get no common-subexpression elimination, and a
+    # computed input would otherwise be evaluated once per reference.
+    return F.to_timestamp_ntz(F.regexp_replace(c, F.lit("(?s).$"), F.lit("")))
 
 
 def iso_date(ts: Column) -> Column:
-    """`YYYY-MM-DD` label of a naive timestamp."""
-    return F.date_format(ts, "yyyy-MM-dd")
+    """`YYYY-MM-DD` label of a naive timestamp (DATE -> STRING, no formatter per row)."""
+    return ts.cast("date").cast("string")
 
 
 def iso_time(ts: Column) -> Column:
     """`HH:MM:SS` label, with `.ffffff` appended only when there are microseconds."""
-    micros = F.date_format(ts, "SSSSSS")
-    return F.when(micros == F.lit("000000"), F.date_format(ts, "HH:mm:ss")).otherwise(
-        F.date_format(ts, "HH:mm:ss.SSSSSS")
-    )
+    return F.regexp_replace(F.date_format(ts, "HH:mm:ss.SSSSSS"), F.lit(r"\.000000$"), F.lit(""))
 
 
 def half_even_bin(col: str | Column, width: int = 100) -> Column:

@@ -130,7 +130,12 @@ def trips_per_time(trips: DataFrame) -> DataFrame:
 
 
 def _in_times(trips: DataFrame, times: Sequence[str]) -> DataFrame:
-    return with_trip_time(trips).where(F.col("trip_time").isin(*times))
+    if "trip_time" in trips.columns:
+        return trips.where(F.col("trip_time").isin(*times))
+    # A label without microseconds is the full-precision label minus ".000000", so
+    # pad the few listed labels instead of trimming a label on every row.
+    full = [t if "." in t else f"{t}.000000" for t in times]
+    return trips.where(F.date_format(C.unplug_timestamp(), "HH:mm:ss.SSSSSS").isin(*full))
 
 
 def trips_in_hours(trips: DataFrame, times: Sequence[str] = DEFAULT_TIMES) -> DataFrame:

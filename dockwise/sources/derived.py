@@ -15,12 +15,28 @@ from pyspark.sql import functions as F
 
 from dockwise.schemas import SNAPSHOT_REPORT_COLUMNS, STATION, TRIP_COLUMNS
 
-def load_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet")
+def load_lineitem(spark: SparkSession, sf_dir: str, min_partitions: int | None = None) -> DataFrame:
+    """The folder's `lineitem` table; see ``ensure_parallelism`` for `min_partitions`."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet")
+    return ensure_parallelism(df, ("l_orderkey", "l_linenumber"), min_partitions)
+
+
+def ensure_parallelism(df: DataFrame, key: tuple[str, ...], min_partitions: int | None = None) -> DataFrame:
+    """Spread `df` over at least `min_partitions` tasks (default: the session's default
+    parallelism) when its scan yields fewer, as a single unsplittable Parquet row
+    group does. Rows are hash-partitioned on `key`, which should be unique (so no
+    partition is skewed and a retried task gets the same rows). Inputs that already
+    scan in enough splits, as any large table does, are returned unchanged, so no
+    shuffle is added where the data is big.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    have = df.rdd.getNumPartitions()
+    return df.repartition(want, *key) if have < want else df
 
 
 def _day() -> F.Column:
-    return F.date_format("l_shipdate", "yyyy-MM-dd")
+    # DATE -> STRING is `yyyy-MM-dd` for four-digit years, without a formatter per row.
+    return F.to_date("l_shipdate").cast("string")
 
 
 def _mod(col: str | F.Column, n: int) -> F.Column:
@@ -36,63 +52,48 @@ def snapshots_from_lineitem(lineitem: DataFrame, keep_order: bool = False) -> Da
     ``keep_order`` the source `l_orderkey` is kept as a last column.
     """
     supp = F.col("l_suppkey")
-    base = lineitem.select(
-        F.concat(_day(), F.lit("T00:00:00")).alias("_id"),
-        F.concat(F.lit("Station "), supp.cast("string")).alias("name"),
-        supp.alias("id"),
-        F.when(_mod("l_orderkey", 997) == 0, F.lit(0)).otherwise(F.lit(1)).cast("bigint").alias("activate"),
-        (F.lit(12) + _mod(supp, 19)).cast("bigint").alias("total_bases"),
-        "l_orderkey",
-        "l_partkey",
-        "l_suppkey",
-        F.col("l_linenumber").cast("bigint").alias("l_linenumber"),
-    )
-    bounds = base.select(
-        "*",
-        F.when(_mod(supp, 5) == 0, F.floor(F.col("total_bases") / 2))
+    zero = F.lit(0).cast("bigint")
+    total = (F.lit(12) + _mod(supp, 19)).cast("bigint")
+    lo = (
+        F.when(_mod(supp, 5) == 0, F.floor(total / 2))
         .when(_mod(supp, 4) == 0, F.lit(3))
         .otherwise(F.lit(0))
         .cast("bigint")
-        .alias("lo"),
-        F.when(_mod(supp, 3) == 0, F.col("total_bases") - 1)
-        .otherwise(F.col("total_bases"))
-        .cast("bigint")
-        .alias("hi"),
     )
-    docked = bounds.select(
-        "*",
-        (
-            F.col("lo")
-            + (F.col("l_orderkey") * 7 + F.col("l_linenumber") * 3 + F.col("l_partkey"))
-            % (F.col("hi") - F.col("lo") + 1)
-        ).alias("dock_bikes"),
+    hi = F.when(_mod(supp, 3) == 0, total - 1).otherwise(total).cast("bigint")
+    seq = F.col("l_orderkey") * 7 + F.col("l_linenumber").cast("bigint") * 3 + F.col("l_partkey")
+    # Reservation and broken-base caps before clipping to the room left.
+    r_cap = F.when(_mod(supp, 10) == 0, zero).otherwise(F.greatest(zero, _mod("l_partkey", 8) - 4))
+    b_cap = (
+        F.when(_mod(supp, 20) == 7, zero)
+        .when(_mod("l_orderkey", 5) == 0, 1 + _mod("l_partkey", 2))
+        .otherwise(zero)
     )
-    reserved = docked.select(
-        "*",
-        F.least(
-            F.col("total_bases") - F.col("dock_bikes"),
-            F.when(_mod(supp, 10) == 0, F.lit(0).cast("bigint")).otherwise(
-                F.greatest(F.lit(0).cast("bigint"), _mod("l_partkey", 8) - 4)
-            ),
-        ).alias("reservations_count"),
+    step1 = lineitem.select(
+        F.concat(_day(), F.lit("T00:00:00")).alias("_id"),
+        F.concat(F.lit("Station "), supp.cast("string")).alias("name"),
+        supp.alias("id"),
+        F.when(_mod("l_orderkey", 997) == 0, F.lit(0)).otherwise(F.lit(1)).cast("bigint").alias("activate"),
+        total.alias("total_bases"),
+        (lo + seq % (hi - lo + 1)).alias("dock_bikes"),
+        r_cap.alias("_r_cap"),
+        b_cap.alias("_b_cap"),
+        "l_orderkey",
     )
-    broken = reserved.select(
+    # With room = total - docked >= 0 and caps >= 0:
+    #   reserved = least(room, r_cap);  left = room - reserved = greatest(room - r_cap, 0)
+    #   broken = least(left, b_cap);    free = left - broken = greatest(left - b_cap, 0)
+    # Each column then refers to the docked count once, so the optimizer's inlining
+    # of these projections into pushed-down filters stays linear in size.
+    room = F.col("total_bases") - F.col("dock_bikes")
+    step2 = step1.select(
         "*",
-        F.least(
-            F.col("total_bases") - F.col("dock_bikes") - F.col("reservations_count"),
-            F.when(_mod(supp, 20) == 7, F.lit(0).cast("bigint"))
-            .when(_mod("l_orderkey", 5) == 0, 1 + _mod("l_partkey", 2))
-            .otherwise(F.lit(0).cast("bigint")),
-        ).alias("broken"),
+        F.least(room, F.col("_r_cap")).alias("reservations_count"),
+        F.greatest(room - F.col("_r_cap"), zero).alias("_left"),
     )
-    flat = broken.select(
+    flat = step2.select(
         "*",
-        (
-            F.col("total_bases")
-            - F.col("dock_bikes")
-            - F.col("reservations_count")
-            - F.col("broken")
-        ).alias("free_bases"),
+        F.greatest(F.col("_left") - F.col("_b_cap"), zero).alias("free_bases"),
     )
     cols = SNAPSHOT_REPORT_COLUMNS + (("l_orderkey",) if keep_order else ())
     return flat.select(*cols)
@@ -113,7 +114,10 @@ def nested_snapshots_from_lineitem(lineitem: DataFrame) -> DataFrame:
             for f in STATION.fields
         ]
     )
-    return flat.groupBy("_id", "l_orderkey").agg(F.collect_list(station).alias("stations")).select(
+    # Groups hold at most seven rows, so a map-side partial collect_list would save
+    # nothing; hash-partition on the group key and aggregate after the one shuffle.
+    keyed = flat.repartition("_id", "l_orderkey")
+    return keyed.groupBy("_id", "l_orderkey").agg(F.collect_list(station).alias("stations")).select(
         "_id", "stations"
     )
 
