@@ -1,0 +1,88 @@
+"""Flat Parquet tables (batch and streaming ingest) and reports run on them."""
+
+import json
+import os
+
+from dockwise.operators import stations as ST
+from dockwise.operators import trips as TR
+from dockwise.sources import flatten_snapshots, read_snapshots
+from dockwise.sources.flat_table import (
+    read_flat_snapshots,
+    read_flat_trips,
+    write_flat_snapshots,
+    write_flat_trips,
+)
+from dockwise.streaming.ingest import ingest_snapshots, ingest_trips
+from fixtures import SNAPSHOTS, TRIPS, station_dict, trips_df
+from conftest import as_dict, rows
+
+TRIP_KEYS = ["user_type", "user_day_code", "idunplug_station", "idplug_station", "travel_time", "unplug_hourTime"]
+
+
+def write_trip_file(path, data):
+    with open(path, "w") as f:
+        for t in data:
+            f.write(json.dumps(dict(zip(TRIP_KEYS, t))) + "\n")
+
+
+def test_flat_trips_round_trip_and_prune(spark, tmp_path):
+    path = str(tmp_path / "trips")
+    write_flat_trips(trips_df(spark), path)
+    assert sorted(d for d in os.listdir(path) if d.startswith("trip_date=")) == [
+        "trip_date=2021-06-19", "trip_date=2021-06-20", "trip_date=2021-06-21"
+    ]
+    flat = read_flat_trips(spark, path)
+    assert as_dict(TR.trips_per_day(flat), "trip_date") == {"2021-06-19": 4, "2021-06-20": 3, "2021-06-21": 5}
+    assert TR.trip_count_in_hours(flat).first()["n"] == 7
+    on_date = TR.trips_on_date(flat, "2021-06-20")
+    plan = on_date._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(trip_date" in plan and "2021-06-20" in plan
+    assert on_date.count() == 3
+
+
+def test_flat_snapshots_round_trip(spark, tmp_path):
+    src = tmp_path / "snap.json"
+    with open(src, "w") as f:
+        for hour, stations in SNAPSHOTS:
+            f.write(json.dumps({"_id": f"2021-06-0{hour[1]}T10:00:00", "stations": [station_dict(*s) for s in stations]}) + "\n")
+    flat = flatten_snapshots(read_snapshots(spark, str(src)))
+    path = str(tmp_path / "flat")
+    write_flat_snapshots(flat, path)
+    back = read_flat_snapshots(spark, path)
+    assert back.count() == 9
+    assert as_dict(ST.full_hours_per_station(back), "name") == {"B": 2, "Miguel Moya": 1}
+    assert sorted(r["snapshot_date"] for r in back.select("snapshot_date").distinct().collect()) == [
+        "2021-06-01", "2021-06-02", "2021-06-04"
+    ]
+
+
+def test_streaming_trip_ingest_is_incremental(spark, tmp_path):
+    incoming = tmp_path / "in"
+    incoming.mkdir()
+    out = str(tmp_path / "flat_trips")
+    ckpt = str(tmp_path / "ckpt")
+    write_trip_file(incoming / "a.json", TRIPS[:6])
+    q = ingest_trips(spark, str(incoming), out, checkpoint=ckpt)
+    q.awaitTermination(120)
+    assert read_flat_trips(spark, out).count() == 6
+    write_trip_file(incoming / "b.json", TRIPS[6:])
+    q = ingest_trips(spark, str(incoming), out, checkpoint=ckpt)
+    q.awaitTermination(120)
+    flat = read_flat_trips(spark, out)
+    assert flat.count() == len(TRIPS)  # the first file is not ingested twice
+    assert rows(TR.least_departures_station(flat)) == [(30, 2)]
+    assert TR.round_trip_count(flat).first()["n"] == 5
+
+
+def test_streaming_snapshot_ingest(spark, tmp_path):
+    incoming = tmp_path / "in"
+    incoming.mkdir()
+    with open(incoming / "s.json", "w") as f:
+        for hour, stations in SNAPSHOTS:
+            f.write(json.dumps({"_id": hour, "stations": [station_dict(*s) for s in stations]}) + "\n")
+    out = str(tmp_path / "flat_snap")
+    q = ingest_snapshots(spark, str(incoming), out, checkpoint=str(tmp_path / "ckpt"))
+    q.awaitTermination(120)
+    flat = read_flat_snapshots(spark, out)
+    assert flat.count() == 9
+    assert sorted(r["name"] for r in ST.never_empty_stations(flat).collect()) == ["B"]
