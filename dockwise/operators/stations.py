@@ -15,11 +15,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dockwise import fixed_values as FV
 from dockwise.functions import columns as C
 from dockwise.operators import core
 
-# The station the reference reports on by name.
-DEFAULT_STATION = "Miguel Moya"
+DEFAULT_STATION = FV.STATION_NAME
+A, B = FV.OCCUPANCY_RANGE
+SHARE = FV.HEAVY_USE_SHARE
 
 
 def _log(long: DataFrame, grouped: bool, page_size: int) -> DataFrame:
@@ -94,21 +96,21 @@ def broken_log(snap: DataFrame, grouped: bool = False, page_size: int = 1024) ->
 # ---------------------------------------------------------------- 4. occupancy range
 
 
-def occupancy_range_stations(snap: DataFrame, a: int = 1, b: int = 2) -> DataFrame:
+def occupancy_range_stations(snap: DataFrame, a: int = A, b: int = B) -> DataFrame:
     """Stations that ever held between `a` and `b` bikes (inclusive): `name`."""
     return core.distinct_where(snap, C.docked_between(a, b), "name")
 
 
-def occupancy_range_count(snap: DataFrame, a: int = 1, b: int = 2) -> DataFrame:
+def occupancy_range_count(snap: DataFrame, a: int = A, b: int = B) -> DataFrame:
     return core.count_distinct_where(snap, C.docked_between(a, b), "name")
 
 
-def never_in_range_stations(snap: DataFrame, a: int = 1, b: int = 2) -> DataFrame:
+def never_in_range_stations(snap: DataFrame, a: int = A, b: int = B) -> DataFrame:
     return core.never_where(snap, C.docked_between(a, b), "name")
 
 
 def occupancy_range_log(
-    snap: DataFrame, a: int = 1, b: int = 2, grouped: bool = False, page_size: int = 1024
+    snap: DataFrame, a: int = A, b: int = B, grouped: bool = False, page_size: int = 1024
 ) -> DataFrame:
     """Per station, hours holding between `a` and `b` bikes: `name, _id, dock_bikes`."""
     long = snap.where(C.docked_between(a, b)).select("name", "_id", "dock_bikes")
@@ -136,8 +138,8 @@ def empty_log(
     grouped: bool = False,
     page_size: int = 1024,
     as_written: bool = False,
-    a: int = 1,
-    b: int = 2,
+    a: int = A,
+    b: int = B,
 ) -> DataFrame:
     """Per station, the hours it was empty: `name, _id, dock_bikes`.
 
@@ -168,7 +170,8 @@ def reserved_station_count(snap: DataFrame) -> DataFrame:
 def reserved_station_pct(snap: DataFrame, total: int | None = None) -> DataFrame:
     """Percent of stations with a reservation: `pct`.
 
-    The denominator is the number of distinct stations seen, or `total` if given.
+    The denominator is the number of distinct stations seen, or `total` if given
+    (``fixed_values.STATION_COUNT`` reproduces the original fixed denominator).
     """
     return core.share_where(snap, C.has_reservation(), "name", total=total)
 
@@ -205,18 +208,18 @@ def full_hours_per_station(snap: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- 7. heavy use
 
 
-def heavy_use_stations(snap: DataFrame, threshold: float = 0.8, inclusive: bool = True) -> DataFrame:
+def heavy_use_stations(snap: DataFrame, threshold: float = SHARE, inclusive: bool = True) -> DataFrame:
     """Stations with at some hour `free_bases >= threshold * total_bases`: `name`."""
     return core.distinct_where(snap, C.heavy_use(threshold, inclusive), "name")
 
 
-def heavy_use_count(snap: DataFrame, threshold: float = 0.8, inclusive: bool = True) -> DataFrame:
+def heavy_use_count(snap: DataFrame, threshold: float = SHARE, inclusive: bool = True) -> DataFrame:
     return core.count_distinct_where(snap, C.heavy_use(threshold, inclusive), "name")
 
 
 def heavy_use_log(
     snap: DataFrame,
-    threshold: float = 0.8,
+    threshold: float = SHARE,
     inclusive: bool = True,
     grouped: bool = False,
     page_size: int = 1024,
@@ -231,7 +234,7 @@ def heavy_use_log(
     return _log(long, grouped, page_size)
 
 
-def heavy_use_full_hours(snap: DataFrame, threshold: float = 0.8, inclusive: bool = True) -> DataFrame:
+def heavy_use_full_hours(snap: DataFrame, threshold: float = SHARE, inclusive: bool = True) -> DataFrame:
     """For stations with heavy use, the hours at which they were full: `name, _id`.
 
     A semi-join of the full rows to the heavy-use station names. The name list can

@@ -14,16 +14,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dockwise import fixed_values as FV
 from dockwise.functions import columns as C
 from dockwise.operators import core
 from dockwise.schemas import TRIP_COLUMNS
 
-# Literals the reference uses, as defaults.
-DEFAULT_DATE = "2021-06-19"
-DEFAULT_TIMES = ("15:00:00", "16:00:00", "17:00:00")
-DEFAULT_STATION_ID = 2009
-DEFAULT_RANGES = ((1200, 1800), (600, 900))
-USER_TYPES = (1, 2, 3, 6, 7)
+DEFAULT_DATE = FV.TRIP_DATE
+DEFAULT_TIMES = FV.TRIP_TIMES
+DEFAULT_STATION_ID = FV.STATION_ID
+DEFAULT_RANGES = FV.DURATION_RANGES
+USER_TYPES = FV.USER_TYPES
 
 TRIP_REST = ("user_day_code", "user_type", "idunplug_station", "idplug_station", "travel_time")
 
@@ -55,7 +55,7 @@ def trip_times(trips: DataFrame) -> DataFrame:
     return with_trip_time(trips).select("trip_time", *TRIP_COLUMNS)
 
 
-def trip_preview(trips: DataFrame, n: int = 20) -> DataFrame:
+def trip_preview(trips: DataFrame, n: int = FV.PREVIEW_ROWS) -> DataFrame:
     """The first `n` trips in a total order over all fields (a deterministic `take`)."""
     return core.top_k(trips.select(*TRIP_COLUMNS), [F.col(c).asc_nulls_first() for c in TRIP_COLUMNS], n)
 
@@ -68,14 +68,14 @@ def trips_by_user_type(trips: DataFrame) -> DataFrame:
     return core.count_by(trips, "user_type")
 
 
-def trips_of_user_type(trips: DataFrame, user_type: int = 1) -> DataFrame:
+def trips_of_user_type(trips: DataFrame, user_type: int = FV.USER_TYPES[0]) -> DataFrame:
     """Trips of one user type, without the type."""
     return trips.where(F.col("user_type") == F.lit(user_type)).select(
         "user_day_code", "idunplug_station", "idplug_station", "travel_time", "unplug_hourTime"
     )
 
 
-def trip_count_of_user_type(trips: DataFrame, user_type: int = 1) -> DataFrame:
+def trip_count_of_user_type(trips: DataFrame, user_type: int = FV.USER_TYPES[0]) -> DataFrame:
     return core.count_rows(trips.where(F.col("user_type") == F.lit(user_type)))
 
 
@@ -152,7 +152,10 @@ def durations_in_hours(trips: DataFrame, times: Sequence[str] = DEFAULT_TIMES) -
 
 
 def durations_in_hours_between(
-    trips: DataFrame, times: Sequence[str] = DEFAULT_TIMES, min_s: int = 1200, max_s: int = 1800
+    trips: DataFrame,
+    times: Sequence[str] = DEFAULT_TIMES,
+    min_s: int = FV.DURATION_RANGES[0][0],
+    max_s: int = FV.DURATION_RANGES[0][1],
 ) -> DataFrame:
     return durations_in_hours(trips, times).where(
         F.col("travel_time").between(F.lit(min_s), F.lit(max_s))
@@ -194,12 +197,12 @@ def _long(trips: DataFrame, min_s: int, inclusive: bool) -> DataFrame:
     return trips.where(tt >= F.lit(min_s) if inclusive else tt > F.lit(min_s))
 
 
-def long_trip_count(trips: DataFrame, min_s: int = 1800, inclusive: bool = True) -> DataFrame:
+def long_trip_count(trips: DataFrame, min_s: int = FV.LONG_TRIP_SECONDS, inclusive: bool = True) -> DataFrame:
     """Trips of at least `min_s` seconds (more than, if not inclusive): `n`."""
     return core.count_rows(_long(trips, min_s, inclusive))
 
 
-def long_trip_mean_minutes(trips: DataFrame, min_s: int = 1800, inclusive: bool = True) -> DataFrame:
+def long_trip_mean_minutes(trips: DataFrame, min_s: int = FV.LONG_TRIP_SECONDS, inclusive: bool = True) -> DataFrame:
     """Total seconds of those trips and their mean in minutes: `total_s, mean_minutes`."""
     total = F.sum("travel_time")
     mean = F.try_divide(total.cast("double"), F.count(F.lit(1)).cast("double")) / F.lit(60.0)
@@ -211,7 +214,12 @@ def duration_histogram(trips: DataFrame) -> DataFrame:
     return core.count_by(trips, "travel_time")
 
 
-def duration_bins(trips: DataFrame, width: int = 100, cap: int = 20000, max_bin: float | None = None) -> DataFrame:
+def duration_bins(
+    trips: DataFrame,
+    width: int = FV.BIN_WIDTH_SECONDS,
+    cap: int = FV.BIN_CAP_SECONDS,
+    max_bin: float | None = None,
+) -> DataFrame:
     """Trips shorter than `cap` per half-even bin of `width` seconds: `bin, n`.
 
     With `max_bin`, only bins up to it are kept (filtered before aggregating).
@@ -224,7 +232,12 @@ def duration_bins(trips: DataFrame, width: int = 100, cap: int = 20000, max_bin:
     return core.count_by(binned, "bin")
 
 
-def duration_bins_trimmed(trips: DataFrame, width: int = 100, cap: int = 20000, max_bin: float = 40) -> DataFrame:
+def duration_bins_trimmed(
+    trips: DataFrame,
+    width: int = FV.BIN_WIDTH_SECONDS,
+    cap: int = FV.BIN_CAP_SECONDS,
+    max_bin: float = FV.MAX_BIN,
+) -> DataFrame:
     return duration_bins(trips, width, cap, max_bin)
 
 
@@ -276,13 +289,13 @@ def trips_from_least_station(trips: DataFrame) -> DataFrame:
     )
 
 
-def busiest_origins(trips: DataFrame, k: int = 3) -> DataFrame:
+def busiest_origins(trips: DataFrame, k: int = FV.TOP_K) -> DataFrame:
     """The `k` origins with most departures (ties broken by smaller id): `idunplug_station, n`."""
     counts = departures_per_station(trips)
     return core.top_k(counts, [F.col("n").desc(), F.col("idunplug_station").asc_nulls_first()], k)
 
 
-def busiest_destinations(trips: DataFrame, k: int = 3) -> DataFrame:
+def busiest_destinations(trips: DataFrame, k: int = FV.TOP_K) -> DataFrame:
     """The `k` destinations with most arrivals: `idplug_station, n`."""
     counts = arrivals_per_station(trips)
     return core.top_k(counts, [F.col("n").desc(), F.col("idplug_station").asc_nulls_first()], k)
