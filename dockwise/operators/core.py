@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -96,21 +96,46 @@ def log_pages(
     """Group a long log `(key, f1, f2, ...)` into sorted arrays of at most `page_size`
     entries: `(key, page, log)`, `log` an `ARRAY<STRUCT<f1, f2, ...>>`.
 
-    A key's pages, taken in `page` order and concatenated, are its whole log sorted
-    by `(f1, f2, ...)`; a key with no more than `page_size` entries usually has one
-    page. The log is range-partitioned on every field, so a key holding a large
-    share of the rows is spread over many tasks, and no array exceeds `page_size`.
+    Page `p` of a key holds entries `p * page_size` to `(p + 1) * page_size - 1` of
+    its log sorted by `(f1, f2, ...)`, so a key with at most `page_size` entries has
+    exactly one page, and the result does not depend on partitioning.
+
+    No key is gathered whole into one task: the log is range-partitioned on every
+    field, so a key holding a large share of the rows spans many partitions. Each
+    row's rank within its key is its position in its partition plus the number of
+    the key's rows in earlier partitions, taken from a small table with one row per
+    (key, partition).
     """
+    spark = long.sparkSession
+    # Both sides of the join below must read the same range shuffle (one set of
+    # sampled bounds); Spark guarantees that by reusing the identical exchange.
+    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
+        raise ValueError("log_pages needs spark.sql.exchange.reuse=true")
     fields = [c for c in long.columns if c != key]
-    n = num_partitions or int(long.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = long.repartitionByRange(n, key, *fields).sortWithinPartitions(key, *fields)
-    part = F.spark_partition_id().cast("bigint")
+    part = F.spark_partition_id()
     # monotonically_increasing_id is (partition << 33) + position in the partition,
-    # and positions follow the sort, so `pos` is the row's rank within its partition.
-    pos = F.monotonically_increasing_id() - F.shiftleft(part, 33)
-    chunked = ordered.select(
+    # and positions follow the sort, so `_pos` is the row's place in its partition.
+    indexed = ordered.select(
         key,
         F.struct(*fields).alias("_e"),
-        (F.shiftleft(part, 33) + F.floor(pos / F.lit(int(page_size)))).alias("page"),
+        part.alias("_part"),
+        (F.monotonically_increasing_id() - F.shiftleft(part.cast("bigint"), 33)).alias("_pos"),
+    )
+    spans = indexed.groupBy(key, "_part").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first")
+    )
+    earlier = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    spans = spans.select(
+        key, "_part", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
+    )
+    rank = F.col("s._before") + F.col("i._pos") - F.col("s._first")
+    i, s = indexed.alias("i"), spans.alias("s")
+    same = F.col(f"i.{key}").eqNullSafe(F.col(f"s.{key}")) & (F.col("i._part") == F.col("s._part"))
+    ranked = i.join(s, same).select(
+        F.col(f"i.{key}").alias(key),
+        F.col("i._e").alias("_e"),
+        F.floor(rank / F.lit(int(page_size))).cast("bigint").alias("page"),
     )
-    return chunked.groupBy(key, "page").agg(F.sort_array(F.collect_list("_e")).alias(name))
+    return ranked.groupBy(key, "page").agg(F.sort_array(F.collect_list("_e")).alias(name))

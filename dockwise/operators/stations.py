@@ -24,6 +24,10 @@ A, B = FV.OCCUPANCY_RANGE
 SHARE = FV.HEAVY_USE_SHARE
 
 
+# Entries per page of a grouped log; a month of hourly snapshots (720) fits on one.
+PAGE_SIZE = 1024
+
+
 def _log(long: DataFrame, grouped: bool, page_size: int) -> DataFrame:
     return core.log_pages(long, "name", page_size=page_size) if grouped else long
 
@@ -85,7 +89,7 @@ def never_broken_stations(snap: DataFrame) -> DataFrame:
     return core.never_where(snap, C.has_broken_base(), "name")
 
 
-def broken_log(snap: DataFrame, grouped: bool = False, page_size: int = 1024) -> DataFrame:
+def broken_log(snap: DataFrame, grouped: bool = False, page_size: int = PAGE_SIZE) -> DataFrame:
     """Per station, the hours with broken bases and how many: `name, _id, broken_bases`."""
     long = snap.where(C.has_broken_base()).select(
         "name", "_id", C.broken_bases().alias("broken_bases")
@@ -110,7 +114,7 @@ def never_in_range_stations(snap: DataFrame, a: int = A, b: int = B) -> DataFram
 
 
 def occupancy_range_log(
-    snap: DataFrame, a: int = A, b: int = B, grouped: bool = False, page_size: int = 1024
+    snap: DataFrame, a: int = A, b: int = B, grouped: bool = False, page_size: int = PAGE_SIZE
 ) -> DataFrame:
     """Per station, hours holding between `a` and `b` bikes: `name, _id, dock_bikes`."""
     long = snap.where(C.docked_between(a, b)).select("name", "_id", "dock_bikes")
@@ -136,7 +140,7 @@ def never_empty_stations(snap: DataFrame) -> DataFrame:
 def empty_log(
     snap: DataFrame,
     grouped: bool = False,
-    page_size: int = 1024,
+    page_size: int = PAGE_SIZE,
     as_written: bool = False,
     a: int = A,
     b: int = B,
@@ -176,7 +180,7 @@ def reserved_station_pct(snap: DataFrame, total: int | None = None) -> DataFrame
     return core.share_where(snap, C.has_reservation(), "name", total=total)
 
 
-def reservation_log(snap: DataFrame, grouped: bool = False, page_size: int = 1024) -> DataFrame:
+def reservation_log(snap: DataFrame, grouped: bool = False, page_size: int = PAGE_SIZE) -> DataFrame:
     """Per station, hours with reservations and how many: `name, _id, reservations_count`."""
     long = snap.where(C.has_reservation()).select("name", "_id", "reservations_count")
     return _log(long, grouped, page_size)
@@ -194,7 +198,7 @@ def full_station_count(snap: DataFrame) -> DataFrame:
     return core.count_distinct_where(snap, C.is_full(), "name")
 
 
-def full_log(snap: DataFrame, grouped: bool = False, page_size: int = 1024) -> DataFrame:
+def full_log(snap: DataFrame, grouped: bool = False, page_size: int = PAGE_SIZE) -> DataFrame:
     """Per station, the hours it was full: `name, _id`."""
     long = snap.where(C.is_full()).select("name", "_id")
     return _log(long, grouped, page_size)
@@ -222,7 +226,7 @@ def heavy_use_log(
     threshold: float = SHARE,
     inclusive: bool = True,
     grouped: bool = False,
-    page_size: int = 1024,
+    page_size: int = PAGE_SIZE,
 ) -> DataFrame:
     """Per station, heavy-use hours and the free share: `name, _id, free_ratio`.
 

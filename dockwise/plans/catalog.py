@@ -15,6 +15,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from dockwise.operators import core
@@ -269,6 +270,46 @@ _st(
 )
 _st("dock_histogram", "ST-29", "SELECT dock_bikes, count(*) AS n FROM snap GROUP BY dock_bikes", ST.dock_histogram)
 
+# Per-station logs grouped into pages (the grouped form of ST-11, 14, 18, 22, 24).
+# The page array is rendered as `f1,f2;f1,f2;...` so both engines give one string.
+
+
+def _log_text(pages: DataFrame, fields: tuple[str, ...]) -> DataFrame:
+    entry = lambda e: F.concat_ws(",", *[e[f].cast("string") for f in fields])
+    return pages.select("name", "page", F.array_join(F.transform("log", entry), ";").alias("log"))
+
+
+def _log_pages_sql(pred: str, fields: tuple[str, ...], exprs: tuple[str, ...] | None = None) -> str:
+    exprs = exprs or fields
+    select = ", ".join(f"{e} AS {f}" for e, f in zip(exprs, fields))
+    order = ", ".join(fields)
+    text = " || ',' || ".join(f"CAST({f} AS VARCHAR)" for f in fields)
+    size = ST.PAGE_SIZE
+    return (
+        f"SELECT name, CAST((rn - 1) // {size} AS BIGINT) AS page, "
+        f"string_agg({text}, ';' ORDER BY {order}) AS log FROM ("
+        f"SELECT name, {order}, row_number() OVER (PARTITION BY name ORDER BY {order}) AS rn FROM ("
+        f"SELECT name, {select} FROM snap WHERE {pred})) GROUP BY name, page"
+    )
+
+
+for _name, _survey, _pred, _fields, _exprs, _fn in (
+    (
+        "broken_log_pages", "ST-11", BROKEN, ("_id", "broken_bases"),
+        ("_id", "total_bases - free_bases - reservations_count - dock_bikes"), ST.broken_log,
+    ),
+    ("occupancy_range_log_pages", "ST-14", IN_RANGE, ("_id", "dock_bikes"), None, ST.occupancy_range_log),
+    ("empty_log_pages", "ST-18", EMPTY, ("_id", "dock_bikes"), None, ST.empty_log),
+    ("reservation_log_pages", "ST-22", RESERVED, ("_id", "reservations_count"), None, ST.reservation_log),
+    ("full_log_pages", "ST-24", FULL, ("_id",), None, ST.full_log),
+):
+    _st(
+        _name,
+        _survey,
+        _log_pages_sql(_pred, _fields, _exprs),
+        lambda s, fn=_fn, fields=_fields: _log_text(fn(s, grouped=True), fields),
+    )
+
 # ------------------------------------------------------------------ trips
 
 ON_DATE = f"trip_date = '{DERIVED_DATE}'"

@@ -129,18 +129,48 @@ def test_grouped_logs_match_long(snap):
     assert got == {"B": ["h1", "h4"], "Miguel Moya": ["h4"]}
 
 
-def test_pages_are_bounded_and_spread_a_hot_station(spark):
-    # One station holds most rows: its log is cut into many bounded, ordered pages.
-    hot = spark.range(0, 5000).select(
+def _hot_log(spark, n=5000):
+    # One station holds 90% of the rows; a few rows have no station name.
+    return spark.range(0, n).select(
         F.when(F.col("id") % 10 == 0, F.concat(F.lit("S"), (F.col("id") % 7).cast("string")))
+        .when(F.col("id") == 7, F.lit(None))
         .otherwise(F.lit("HOT"))
         .alias("name"),
-        F.format_string("h%05d", "id").alias("_id"),
+        F.format_string("h%05d", F.col("id") % 1700).alias("_id"),
         (F.col("id") % 3).alias("dock_bikes"),
     )
-    pages = ST.occupancy_range_log(hot, 0, 2, grouped=True, page_size=100).cache()
-    sizes = [r[0] for r in pages.select(F.size("log")).collect()]
+
+
+def test_pages_match_row_number_and_are_bounded(spark):
+    from pyspark.sql import Window
+    from dockwise.operators.core import log_pages
+
+    long = _hot_log(spark)
+    pages = log_pages(long, "name", page_size=100, num_partitions=16)
+    collected = pages.collect()
+    # both sides of the rank join read one range shuffle (same sampled bounds)
+    assert "ReusedExchange" in pages._jdf.queryExecution().executedPlan().toString()
+    sizes = [len(r["log"]) for r in collected]
     assert max(sizes) <= 100 and sum(sizes) == 5000
-    hot_pages = pages.where(F.col("name") == "HOT").orderBy("page").collect()
-    ids = [e["_id"] for r in hot_pages for e in r["log"]]
-    assert len(ids) == 4500 and ids == sorted(ids)
+    got = sorted(
+        (r["name"] or "", r["page"], i, e["_id"], e["dock_bikes"])
+        for r in collected
+        for i, e in enumerate(r["log"])
+    )
+    w = Window.partitionBy("name").orderBy("_id", "dock_bikes")
+    truth = long.select("*", (F.row_number().over(w) - 1).alias("rn"))
+    want = sorted(
+        (r["name"] or "", r["rn"] // 100, r["rn"] % 100, r["_id"], r["dock_bikes"]) for r in truth.collect()
+    )
+    assert got == want
+    assert sum(1 for r in collected if r["name"] == "HOT") == 45  # 4499 entries, pages of 100
+
+
+def test_pages_are_independent_of_partitioning(spark):
+    from dockwise.operators.core import log_pages
+
+    long = _hot_log(spark, 3000)
+    a = log_pages(long, "name", page_size=64, num_partitions=3)
+    b = log_pages(long, "name", page_size=64, num_partitions=11)
+    norm = lambda df: sorted((r["name"] or "", r["page"], tuple(tuple(e) for e in r["log"])) for r in df.collect())
+    assert norm(a) == norm(b)
