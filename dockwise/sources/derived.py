@@ -15,10 +15,20 @@ from pyspark.sql import functions as F
 
 from dockwise.schemas import SNAPSHOT_REPORT_COLUMNS, STATION, TRIP_COLUMNS
 
+# DataFrame definitions of `lineitem` already built, per session and path. Only the
+# plan is kept (file listing, footer schema, split count), never the data, so
+# each query still scans the files.
+_LINEITEM: dict[tuple[int, str, int | None], DataFrame] = {}
+
+
 def load_lineitem(spark: SparkSession, sf_dir: str, min_partitions: int | None = None) -> DataFrame:
     """The folder's `lineitem` table; see ``ensure_parallelism`` for `min_partitions`."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet")
-    return ensure_parallelism(df, ("l_orderkey", "l_linenumber"), min_partitions)
+    path = f"{sf_dir.rstrip('/')}/lineitem.parquet"
+    key = (id(spark), path, min_partitions)
+    if key not in _LINEITEM:
+        df = spark.read.parquet(path)
+        _LINEITEM[key] = ensure_parallelism(df, ("l_orderkey", "l_linenumber"), min_partitions)
+    return _LINEITEM[key]
 
 
 def ensure_parallelism(df: DataFrame, key: tuple[str, ...], min_partitions: int | None = None) -> DataFrame:
