@@ -81,8 +81,8 @@ def broken_stations(snap: DataFrame) -> DataFrame:
     return core.distinct_where(snap, C.has_broken_base(), "name")
 
 
-def broken_station_count(snap: DataFrame) -> DataFrame:
-    return core.count_distinct_where(snap, C.has_broken_base(), "name")
+def broken_station_count(snap: DataFrame, approx: bool = False) -> DataFrame:
+    return core.count_distinct_where(snap, C.has_broken_base(), "name", approx=approx)
 
 
 def never_broken_stations(snap: DataFrame) -> DataFrame:
@@ -105,8 +105,8 @@ def occupancy_range_stations(snap: DataFrame, a: int = A, b: int = B) -> DataFra
     return core.distinct_where(snap, C.docked_between(a, b), "name")
 
 
-def occupancy_range_count(snap: DataFrame, a: int = A, b: int = B) -> DataFrame:
-    return core.count_distinct_where(snap, C.docked_between(a, b), "name")
+def occupancy_range_count(snap: DataFrame, a: int = A, b: int = B, approx: bool = False) -> DataFrame:
+    return core.count_distinct_where(snap, C.docked_between(a, b), "name", approx=approx)
 
 
 def never_in_range_stations(snap: DataFrame, a: int = A, b: int = B) -> DataFrame:
@@ -129,8 +129,8 @@ def empty_stations(snap: DataFrame) -> DataFrame:
     return core.distinct_where(snap, C.is_empty(), "name")
 
 
-def empty_station_count(snap: DataFrame) -> DataFrame:
-    return core.count_distinct_where(snap, C.is_empty(), "name")
+def empty_station_count(snap: DataFrame, approx: bool = False) -> DataFrame:
+    return core.count_distinct_where(snap, C.is_empty(), "name", approx=approx)
 
 
 def never_empty_stations(snap: DataFrame) -> DataFrame:
@@ -167,8 +167,8 @@ def reserved_stations(snap: DataFrame) -> DataFrame:
     return core.distinct_where(snap, C.has_reservation(), "name")
 
 
-def reserved_station_count(snap: DataFrame) -> DataFrame:
-    return core.count_distinct_where(snap, C.has_reservation(), "name")
+def reserved_station_count(snap: DataFrame, approx: bool = False) -> DataFrame:
+    return core.count_distinct_where(snap, C.has_reservation(), "name", approx=approx)
 
 
 def reserved_station_pct(snap: DataFrame, total: int | None = None) -> DataFrame:
@@ -194,8 +194,8 @@ def full_stations(snap: DataFrame) -> DataFrame:
     return core.distinct_where(snap, C.is_full(), "name")
 
 
-def full_station_count(snap: DataFrame) -> DataFrame:
-    return core.count_distinct_where(snap, C.is_full(), "name")
+def full_station_count(snap: DataFrame, approx: bool = False) -> DataFrame:
+    return core.count_distinct_where(snap, C.is_full(), "name", approx=approx)
 
 
 def full_log(snap: DataFrame, grouped: bool = False, page_size: int = PAGE_SIZE) -> DataFrame:
@@ -217,8 +217,10 @@ def heavy_use_stations(snap: DataFrame, threshold: float = SHARE, inclusive: boo
     return core.distinct_where(snap, C.heavy_use(threshold, inclusive), "name")
 
 
-def heavy_use_count(snap: DataFrame, threshold: float = SHARE, inclusive: bool = True) -> DataFrame:
-    return core.count_distinct_where(snap, C.heavy_use(threshold, inclusive), "name")
+def heavy_use_count(
+    snap: DataFrame, threshold: float = SHARE, inclusive: bool = True, approx: bool = False
+) -> DataFrame:
+    return core.count_distinct_where(snap, C.heavy_use(threshold, inclusive), "name", approx=approx)
 
 
 def heavy_use_log(

@@ -31,15 +31,24 @@ def load_lineitem(spark: SparkSession, sf_dir: str, min_partitions: int | None =
     return _LINEITEM[key]
 
 
+# Smallest input share worth a task of its own when spreading a small input.
+MIN_BYTES_PER_TASK = 1 << 20
+
+
 def ensure_parallelism(df: DataFrame, key: tuple[str, ...], min_partitions: int | None = None) -> DataFrame:
-    """Spread `df` over at least `min_partitions` tasks (default: the session's default
-    parallelism) when its scan yields fewer, as a single unsplittable Parquet row
-    group does. Rows are hash-partitioned on `key`, which should be unique (so no
-    partition is skewed and a retried task gets the same rows). Inputs that already
-    scan in enough splits, as any large table does, are returned unchanged, so no
-    shuffle is added where the data is big.
+    """Spread `df` over more tasks when its scan yields fewer than the session's
+    default parallelism (or `min_partitions`), as a single unsplittable Parquet row
+    group does; at most one task per `MIN_BYTES_PER_TASK` of input, so a small table
+    on a large cluster is not cut into thousands of slivers.
+
+    Rows are hash-partitioned on `key`, which should be unique (so no partition is
+    skewed and a retried task gets the same rows). Inputs that already scan in enough
+    splits, as any large table does, are returned unchanged: no shuffle is added
+    where the data is big.
     """
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    want = min(want, max(1, size // MIN_BYTES_PER_TASK))
     have = df.rdd.getNumPartitions()
     return df.repartition(want, *key) if have < want else df
 

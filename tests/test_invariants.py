@@ -64,3 +64,9 @@ def test_published_values_for_sf0001(snap, trips):
     assert n(TR.round_trip_count(trips)) == 650
     assert n(TR.round_trip_count(trips, distinct_users=True)) == 533
     assert [tuple(r) for r in TR.least_departures_station(trips).collect()] == [(1, 545)]
+
+
+def test_approx_distinct_is_close(snap):
+    exact = n(ST.heavy_use_count(snap))
+    approx = n(ST.heavy_use_count(snap, approx=True))
+    assert abs(approx - exact) <= max(1, 0.1 * exact)
