@@ -41,14 +41,34 @@ def build_session(
     return builder.getOrCreate()
 
 
+def settings_for_input(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Shuffle and split sizes for a job reading about `input_bytes`.
+
+    Starts with enough shuffle partitions that each holds about
+    `target_partition_bytes` of the input (never fewer than 200) and lets AQE merge
+    them down to that advisory size after the map side has measured its output;
+    scan splits of the same size keep one task's input within executor memory.
+    Pass the result as `extra` to `build_session` or set it on the session.
+    """
+    partitions = max(200, -(-int(input_bytes) // int(target_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged tables (`spark.checkpoint.dir`).
 
-    A cluster names it; only when it is unset (local runs, tests) is a local
-    folder created and set.
+    A cluster names it; only a local session (tests, local runs) without one gets
+    a local folder. On a cluster a missing setting is an error: a machine-local
+    folder would not survive the loss of the executor that wrote it.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         current = tempfile.mkdtemp(prefix="dockwise-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)

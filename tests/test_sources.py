@@ -95,3 +95,11 @@ def test_half_even_bins_python(spark):
     sample = [50, 150, 250, 4050, 4051, 19999, 149, 151]
     res = {r["v"]: r["b"] for r in df.where(F.col("v").isin(sample)).select("v", C.half_even_bin("v", 100).alias("b")).collect()}
     assert res == {v: round(v, -2) / 100 for v in sample}
+
+
+def test_settings_for_input():
+    from dockwise.session import settings_for_input
+
+    big = settings_for_input(100 * 10**12)
+    assert int(big["spark.sql.shuffle.partitions"]) == -(-100 * 10**12 // (256 << 20))
+    assert settings_for_input(10**6)["spark.sql.shuffle.partitions"] == "200"
