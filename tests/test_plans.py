@@ -26,12 +26,15 @@ def test_plan_shape(spark, name):
 
 
 def test_explicit_broadcast_is_one_row_aggregate(spark):
-    # The only broadcast hint in the library is of a global min (one row).
+    # The only broadcast hint in the library is on a global min: exactly one row.
     df = catalog.REGISTRY["least_departures_station"].build(spark, SF_SMALL)
     logical = df._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" in logical.lower()
-    hinted = [line for line in logical.splitlines() if "ResolvedHint" in line or "hint=" in line.lower()]
-    assert all("min" in line.lower() or "strategy=broadcast" in line.lower() for line in hinted)
+    assert logical.count("strategy=broadcast") == 1
+    lines = logical.splitlines()
+    assert "rightHint=(strategy=broadcast)" in lines[0]
+    right = next(i for i, line in enumerate(lines) if line.startswith("+- "))
+    first_aggregate = next(line for line in lines[right:] if "Aggregate" in line)
+    assert "Aggregate [min(" in first_aggregate  # no grouping keys: one row
 
 
 def test_filters_reach_the_scan(spark, tmp_path):
