@@ -66,7 +66,9 @@ def never_where(df: DataFrame, pred: Column, key: str) -> DataFrame:
     return flag_by(df, pred, key).where(F.col("hit") == 0).select(key)
 
 
-def share_where(df: DataFrame, pred: Column, key: str, total: int | None = None, name: str = "pct") -> DataFrame:
+def share_where(
+    df: DataFrame, pred: Column, key: str, total: int | None = None, name: str = "pct"
+) -> DataFrame:
     """Percent of keys with at least one row satisfying `pred`.
 
     The denominator is the number of distinct keys, or `total` when given.

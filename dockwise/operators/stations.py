@@ -20,8 +20,8 @@ from dockwise.functions import columns as C
 from dockwise.operators import core
 
 DEFAULT_STATION = FV.STATION_NAME
-A, B = FV.OCCUPANCY_RANGE
-SHARE = FV.HEAVY_USE_SHARE
+DEFAULT_LOW, DEFAULT_HIGH = FV.OCCUPANCY_RANGE
+DEFAULT_SHARE = FV.HEAVY_USE_SHARE
 
 
 # Entries per page of a grouped log; a month of hourly snapshots (720) fits on one.
@@ -100,21 +100,27 @@ def broken_log(snap: DataFrame, grouped: bool = False, page_size: int = PAGE_SIZ
 # ---------------------------------------------------------------- 4. occupancy range
 
 
-def occupancy_range_stations(snap: DataFrame, a: int = A, b: int = B) -> DataFrame:
+def occupancy_range_stations(snap: DataFrame, a: int = DEFAULT_LOW, b: int = DEFAULT_HIGH) -> DataFrame:
     """Stations that ever held between `a` and `b` bikes (inclusive): `name`."""
     return core.distinct_where(snap, C.docked_between(a, b), "name")
 
 
-def occupancy_range_count(snap: DataFrame, a: int = A, b: int = B, approx: bool = False) -> DataFrame:
+def occupancy_range_count(
+    snap: DataFrame, a: int = DEFAULT_LOW, b: int = DEFAULT_HIGH, approx: bool = False
+) -> DataFrame:
     return core.count_distinct_where(snap, C.docked_between(a, b), "name", approx=approx)
 
 
-def never_in_range_stations(snap: DataFrame, a: int = A, b: int = B) -> DataFrame:
+def never_in_range_stations(snap: DataFrame, a: int = DEFAULT_LOW, b: int = DEFAULT_HIGH) -> DataFrame:
     return core.never_where(snap, C.docked_between(a, b), "name")
 
 
 def occupancy_range_log(
-    snap: DataFrame, a: int = A, b: int = B, grouped: bool = False, page_size: int = PAGE_SIZE
+    snap: DataFrame,
+    a: int = DEFAULT_LOW,
+    b: int = DEFAULT_HIGH,
+    grouped: bool = False,
+    page_size: int = PAGE_SIZE,
 ) -> DataFrame:
     """Per station, hours holding between `a` and `b` bikes: `name, _id, dock_bikes`."""
     long = snap.where(C.docked_between(a, b)).select("name", "_id", "dock_bikes")
@@ -142,8 +148,8 @@ def empty_log(
     grouped: bool = False,
     page_size: int = PAGE_SIZE,
     as_written: bool = False,
-    a: int = A,
-    b: int = B,
+    a: int = DEFAULT_LOW,
+    b: int = DEFAULT_HIGH,
 ) -> DataFrame:
     """Per station, the hours it was empty: `name, _id, dock_bikes`.
 
@@ -212,20 +218,22 @@ def full_hours_per_station(snap: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- 7. heavy use
 
 
-def heavy_use_stations(snap: DataFrame, threshold: float = SHARE, inclusive: bool = True) -> DataFrame:
+def heavy_use_stations(
+    snap: DataFrame, threshold: float = DEFAULT_SHARE, inclusive: bool = True
+) -> DataFrame:
     """Stations with at some hour `free_bases >= threshold * total_bases`: `name`."""
     return core.distinct_where(snap, C.heavy_use(threshold, inclusive), "name")
 
 
 def heavy_use_count(
-    snap: DataFrame, threshold: float = SHARE, inclusive: bool = True, approx: bool = False
+    snap: DataFrame, threshold: float = DEFAULT_SHARE, inclusive: bool = True, approx: bool = False
 ) -> DataFrame:
     return core.count_distinct_where(snap, C.heavy_use(threshold, inclusive), "name", approx=approx)
 
 
 def heavy_use_log(
     snap: DataFrame,
-    threshold: float = SHARE,
+    threshold: float = DEFAULT_SHARE,
     inclusive: bool = True,
     grouped: bool = False,
     page_size: int = PAGE_SIZE,
@@ -240,7 +248,9 @@ def heavy_use_log(
     return _log(long, grouped, page_size)
 
 
-def heavy_use_full_hours(snap: DataFrame, threshold: float = SHARE, inclusive: bool = True) -> DataFrame:
+def heavy_use_full_hours(
+    snap: DataFrame, threshold: float = DEFAULT_SHARE, inclusive: bool = True
+) -> DataFrame:
     """For stations with heavy use, the hours at which they were full: `name, _id`.
 
     A semi-join of the full rows to the heavy-use station names. The name list can

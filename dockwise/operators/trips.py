@@ -202,7 +202,9 @@ def long_trip_count(trips: DataFrame, min_s: int = FV.LONG_TRIP_SECONDS, inclusi
     return core.count_rows(_long(trips, min_s, inclusive))
 
 
-def long_trip_mean_minutes(trips: DataFrame, min_s: int = FV.LONG_TRIP_SECONDS, inclusive: bool = True) -> DataFrame:
+def long_trip_mean_minutes(
+    trips: DataFrame, min_s: int = FV.LONG_TRIP_SECONDS, inclusive: bool = True
+) -> DataFrame:
     """Total seconds of those trips and their mean in minutes: `total_s, mean_minutes`."""
     total = F.sum("travel_time")
     mean = F.try_divide(total.cast("double"), F.count(F.lit(1)).cast("double")) / F.lit(60.0)

@@ -126,11 +126,15 @@ def _load(spark: SparkSession, args: argparse.Namespace) -> tuple[DataFrame | No
 
     snap = trips = None
     if args.snapshots:
-        snap = read_flat_snapshots(spark, args.snapshots) if args.flat else flatten_snapshots(
-            read_snapshots(spark, args.snapshots, mode=args.mode)
-        )
+        if args.flat:
+            snap = read_flat_snapshots(spark, args.snapshots)
+        else:
+            snap = flatten_snapshots(read_snapshots(spark, args.snapshots, mode=args.mode))
     if args.trips:
-        trips = read_flat_trips(spark, args.trips) if args.flat else read_trips(spark, args.trips, mode=args.mode)
+        if args.flat:
+            trips = read_flat_trips(spark, args.trips)
+        else:
+            trips = read_trips(spark, args.trips, mode=args.mode)
     return snap, trips
 
 

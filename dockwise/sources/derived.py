@@ -174,7 +174,8 @@ def trips_from_lineitem(lineitem: DataFrame, with_unused: bool = False) -> DataF
     ]
     if with_unused:
         cols += [
-            F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("_id"),
+            F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+            .alias("_id"),
             (_mod("l_partkey", 7)).cast("bigint").alias("ageRange"),
             F.lpad(_mod("l_suppkey", 100000).cast("string"), 5, "0").alias("zip_code"),
             (_mod("l_partkey", 30) + 1).cast("bigint").alias("idplug_base"),
