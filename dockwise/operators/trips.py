@@ -3,8 +3,8 @@
 Input: one row per trip with `user_type, user_day_code, idunplug_station (origin),
 idplug_station (destination), travel_time (seconds), unplug_hourTime`. Reports by
 day or time of day derive `trip_date` / `trip_time` from `unplug_hourTime` unless the
-frame already has them (for instance a flat table partitioned by `trip_date`, where
-a date filter then prunes whole directories).
+frame already has them (a flat table from ``sources.flat_table``, where a date filter
+also prunes the month or day folders).
 """
 
 from __future__ import annotations
@@ -105,7 +105,12 @@ def trips_per_day(trips: DataFrame) -> DataFrame:
 
 
 def _on_date(trips: DataFrame, date: str) -> DataFrame:
-    return with_trip_date(trips).where(F.col("trip_date") == F.lit(date))
+    on = with_trip_date(trips).where(F.col("trip_date") == F.lit(date))
+    if "trip_period" in trips.columns:
+        # A flat table is partitioned by month or day: name both, so the folders of
+        # other periods are skipped whichever was used.
+        on = on.where(F.col("trip_period").isin(date[:7], date[:10]))
+    return on
 
 
 def trips_on_date(trips: DataFrame, date: str = DEFAULT_DATE) -> DataFrame:

@@ -2,7 +2,8 @@
 
 New JSON Lines files dropped into a folder (one hourly snapshot per line, or
 trips) are parsed with the declared schema, flattened the same way as in batch, and
-appended to the flat Parquet tables of ``dockwise.sources.flat_table``. The batch
+appended to the period-partitioned flat Parquet tables of
+``dockwise.sources.flat_table``. The batch
 reports then run on those tables. Progress is kept in a checkpoint under the shared
 `spark.checkpoint.dir`, so a restarted query (or one whose executors were lost)
 resumes where it stopped without duplicating files in the sink.
@@ -21,25 +22,29 @@ from dockwise.sources.flat_table import (
     SNAPSHOT_PARTITION,
     TRIP_PARTITION,
     flat_trips,
-    with_snapshot_date,
+    with_snapshot_period,
 )
 from dockwise.sources.json_lines import flatten_snapshots
 
 
-def snapshot_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Flat snapshot rows (plus `snapshot_date`) from JSON files arriving in `folder`."""
+def snapshot_stream(
+    spark: SparkSession, folder: str, max_files_per_trigger: int | None = None, period: str = "month"
+) -> DataFrame:
+    """Flat snapshot rows (plus `snapshot_period`) from JSON files arriving in `folder`."""
     reader = spark.readStream.schema(SNAPSHOT).option("mode", "FAILFAST")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    return with_snapshot_date(flatten_snapshots(reader.json(folder)))
+    return with_snapshot_period(flatten_snapshots(reader.json(folder)), period)
 
 
-def trip_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Trips with `trip_date` and `trip_time` from JSON files arriving in `folder`."""
+def trip_stream(
+    spark: SparkSession, folder: str, max_files_per_trigger: int | None = None, period: str = "month"
+) -> DataFrame:
+    """Trips with `trip_date`, `trip_time` and `trip_period` from JSON files arriving in `folder`."""
     reader = spark.readStream.schema(TRIP).option("mode", "FAILFAST")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    return flat_trips(reader.json(folder))
+    return flat_trips(reader.json(folder), period)
 
 
 def append_to_flat_table(
@@ -51,7 +56,7 @@ def append_to_flat_table(
     available_now: bool = True,
     processing_time: str | None = None,
 ) -> StreamingQuery:
-    """Append a stream to a day-partitioned Parquet table.
+    """Append a stream to a period-partitioned Parquet table.
 
     ``available_now=True`` processes everything present and stops (a scheduled
     incremental load); otherwise the query keeps running, triggered every

@@ -2,6 +2,7 @@
 
 import json
 import os
+import re
 
 from dockwise.operators import stations as ST
 from dockwise.operators import trips as TR
@@ -26,18 +27,24 @@ def write_trip_file(path, data):
 
 
 def test_flat_trips_round_trip_and_prune(spark, tmp_path):
-    path = str(tmp_path / "trips")
-    write_flat_trips(trips_df(spark), path)
-    assert sorted(d for d in os.listdir(path) if d.startswith("trip_date=")) == [
-        "trip_date=2021-06-19", "trip_date=2021-06-20", "trip_date=2021-06-21"
-    ]
-    flat = read_flat_trips(spark, path)
-    assert as_dict(TR.trips_per_day(flat), "trip_date") == {"2021-06-19": 4, "2021-06-20": 3, "2021-06-21": 5}
-    assert TR.trip_count_in_hours(flat).first()["n"] == 7
-    on_date = TR.trips_on_date(flat, "2021-06-20")
-    plan = on_date._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(trip_date" in plan and "2021-06-20" in plan
-    assert on_date.count() == 3
+    extra = [(1, "u99", 10, 20, 60, "2021-07-02T08:00:00Z")]
+    for period, folders in (
+        ("day", ["trip_period=2021-06-19", "trip_period=2021-06-20", "trip_period=2021-06-21", "trip_period=2021-07-02"]),
+        ("month", ["trip_period=2021-06", "trip_period=2021-07"]),
+    ):
+        path = str(tmp_path / f"trips_{period}")
+        write_flat_trips(trips_df(spark, TRIPS + extra), path, period=period)
+        assert sorted(d for d in os.listdir(path) if d.startswith("trip_period=")) == folders
+        flat = read_flat_trips(spark, path)
+        assert as_dict(TR.trips_per_day(flat), "trip_date") == {
+            "2021-06-19": 4, "2021-06-20": 3, "2021-06-21": 5, "2021-07-02": 1
+        }
+        assert TR.trip_count_in_hours(flat).first()["n"] == 7
+        on_date = TR.trips_on_date(flat, "2021-06-20")
+        plan = on_date._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"PartitionFilters: \[[^\]]*trip_period#\d+[^\]]* IN \(2021-06,2021-06-20\)", plan)
+        assert "PushedFilters: [IsNotNull(trip_date), EqualTo(trip_date,2021-06-20)]" in plan
+        assert on_date.count() == 3
 
 
 def test_flat_snapshots_round_trip(spark, tmp_path):
@@ -51,9 +58,7 @@ def test_flat_snapshots_round_trip(spark, tmp_path):
     back = read_flat_snapshots(spark, path)
     assert back.count() == 9
     assert as_dict(ST.full_hours_per_station(back), "name") == {"B": 2, "Miguel Moya": 1}
-    assert sorted(r["snapshot_date"] for r in back.select("snapshot_date").distinct().collect()) == [
-        "2021-06-01", "2021-06-02", "2021-06-04"
-    ]
+    assert [r[0] for r in back.select("snapshot_period").distinct().collect()] == ["2021-06"]
 
 
 def test_streaming_trip_ingest_is_incremental(spark, tmp_path):
