@@ -27,7 +27,9 @@ def load_lineitem(spark: SparkSession, sf_dir: str, min_partitions: int | None =
     key = (id(spark), path, min_partitions)
     if key not in _LINEITEM:
         df = spark.read.parquet(path)
-        _LINEITEM[key] = ensure_parallelism(df, ("l_orderkey", "l_linenumber"), min_partitions)
+        # An order has at most seven lines, so hashing on it spreads rows evenly, and
+        # the nested snapshots (grouped per order) need no second shuffle.
+        _LINEITEM[key] = ensure_parallelism(df, ("l_orderkey",), min_partitions)
     return _LINEITEM[key]
 
 
@@ -41,8 +43,8 @@ def ensure_parallelism(df: DataFrame, key: tuple[str, ...], min_partitions: int
     group does; at most one task per `MIN_BYTES_PER_TASK` of input, so a small table
     on a large cluster is not cut into thousands of slivers.
 
-    Rows are hash-partitioned on `key`, which should be unique (so no partition is
-    skewed and a retried task gets the same rows). Inputs that already scan in enough
+    Rows are hash-partitioned on `key`, which should hold few rows per value (so no
+    partition is skewed); hashing is deterministic, so a retried task gets the same rows. Inputs that already scan in enough
     splits, as any large table does, are returned unchanged: no shuffle is added
     where the data is big.
     """
@@ -134,8 +136,10 @@ def nested_snapshots_from_lineitem(lineitem: DataFrame) -> DataFrame:
         ]
     )
     # Groups hold at most seven rows, so a map-side partial collect_list would save
-    # nothing; hash-partition on the group key and aggregate after the one shuffle.
-    keyed = flat.repartition("_id", "l_orderkey")
+    # nothing; hash-partition on the order (which co-locates every (hour, order)
+    # group) and aggregate after that one shuffle. When the input was already spread
+    # on the order (`ensure_parallelism`), Spark keeps that single exchange.
+    keyed = flat.repartition("l_orderkey")
     return keyed.groupBy("_id", "l_orderkey").agg(F.collect_list(station).alias("stations")).select(
         "_id", "stations"
     )
