@@ -466,6 +466,12 @@ _tr(
     f"SELECT idunplug_station, avg(travel_time) AS mean_s FROM trips WHERE {ROUND} GROUP BY idunplug_station",
     TR.round_trip_mean_per_station,
 )
+_tr(
+    "arrivals_per_station",
+    "TR-27",
+    "SELECT idplug_station, count(*) AS n FROM trips GROUP BY idplug_station",
+    TR.arrivals_per_station,
+)
 _tr(
     "busiest_origins",
     "TR-27",

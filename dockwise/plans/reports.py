@@ -85,6 +85,7 @@ TRIP_REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "least_departures_station": TR.least_departures_station,
     "trips_from_station": TR.trips_from_station,
     "trips_from_least_station": TR.trips_from_least_station,
+    "arrivals_per_station": TR.arrivals_per_station,
     "busiest_origins": TR.busiest_origins,
     "busiest_destinations": TR.busiest_destinations,
     "round_trips": TR.round_trips,
