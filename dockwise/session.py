@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings applied by `build_session`. AQE re-plans from measured sizes: it merges
 # small shuffle partitions, splits skewed ones in joins, and turns a sort-merge join
@@ -58,6 +58,14 @@ def settings_for_input(input_bytes: int, target_partition_bytes: int = 256 << 20
     }
 
 
+def estimated_size_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of `df` (from file sizes and the optimized plan).
+
+    Planning only: no job runs. Used to size decisions before execution.
+    """
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged tables (`spark.checkpoint.dir`).
 

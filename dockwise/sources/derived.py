@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockwise.schemas import SNAPSHOT_REPORT_COLUMNS, STATION, TRIP_COLUMNS
+from dockwise.session import estimated_size_bytes
 
 # DataFrame definitions of `lineitem` already built, per session and path. Only the
 # plan is kept (file listing, footer schema, split count), never the data, so
@@ -49,8 +50,7 @@ def ensure_parallelism(df: DataFrame, key: tuple[str, ...], min_partitions: int
     where the data is big.
     """
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    want = min(want, max(1, size // MIN_BYTES_PER_TASK))
+    want = min(want, max(1, estimated_size_bytes(df) // MIN_BYTES_PER_TASK))
     have = df.rdd.getNumPartitions()
     return df.repartition(want, *key) if have < want else df
 
