@@ -103,3 +103,25 @@ def test_settings_for_input():
     big = settings_for_input(100 * 10**12)
     assert int(big["spark.sql.shuffle.partitions"]) == -(-100 * 10**12 // (256 << 20))
     assert settings_for_input(10**6)["spark.sql.shuffle.partitions"] == "200"
+
+
+def test_labels_match_python_isoformat(spark):
+    import random
+    from datetime import datetime, timedelta
+
+    rng = random.Random(7)
+    base = datetime(1999, 12, 31, 23, 0, 0)
+    stamps = [base + timedelta(seconds=rng.randint(0, 10**7), microseconds=rng.choice([0, 0, 1, 250000, 999999]))
+              for _ in range(300)]
+    raw = [(s.isoformat() + "Z",) for s in stamps]
+    df = spark.createDataFrame(raw, "s string")
+    ts = C.unplug_timestamp("s")
+    got = [(r[0], r[1]) for r in df.select(C.iso_date(ts), C.iso_time(ts)).collect()]
+    assert got == [(s.date().isoformat(), s.time().isoformat()) for s in stamps]
+
+
+def test_half_even_bins_other_widths(spark):
+    df = spark.range(0, 5000).select(F.col("id").alias("v"))
+    for width in (60, 250):
+        got = {r["v"]: r["b"] for r in df.select("v", C.half_even_bin("v", width).alias("b")).collect()}
+        assert got == {v: float(round(v / width)) for v in range(5000)}
