@@ -174,3 +174,17 @@ def test_pages_are_independent_of_partitioning(spark):
     b = log_pages(long, "name", page_size=64, num_partitions=11)
     norm = lambda df: sorted((r["name"] or "", r["page"], tuple(tuple(e) for e in r["log"])) for r in df.collect())
     assert norm(a) == norm(b)
+
+
+def test_pages_reuse_the_range_shuffle_without_aqe(spark):
+    from dockwise.operators.core import log_pages
+
+    prev = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        pages = log_pages(_hot_log(spark, 2000), "name", page_size=50, num_partitions=5)
+        pages.collect()
+        plan = pages._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", prev)
+    assert plan.count("Exchange rangepartitioning") == 2 and "ReusedExchange" in plan
