@@ -79,9 +79,19 @@ def iso_date(ts: Column) -> Column:
     return ts.cast("date").cast("string")
 
 
+def full_time(ts: Column) -> Column:
+    """`HH:MM:SS.ffffff` label of a naive timestamp (always six fraction digits)."""
+    return F.date_format(ts, "HH:mm:ss.SSSSSS")
+
+
+def trim_zero_micros(label: Column) -> Column:
+    """Drop a `.000000` fraction: `full_time` becomes the `isoformat` time label."""
+    return F.regexp_replace(label, F.lit(r"\.000000$"), F.lit(""))
+
+
 def iso_time(ts: Column) -> Column:
     """`HH:MM:SS` label, with `.ffffff` appended only when there are microseconds."""
-    return F.regexp_replace(F.date_format(ts, "HH:mm:ss.SSSSSS"), F.lit(r"\.000000$"), F.lit(""))
+    return trim_zero_micros(full_time(ts))
 
 
 def half_even_bin(col: str | Column, width: int = 100) -> Column:

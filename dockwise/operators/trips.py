@@ -101,7 +101,12 @@ def trip_counts_of_user_types(trips: DataFrame, user_types: Sequence[int] = USER
 
 def trips_per_day(trips: DataFrame) -> DataFrame:
     """Trips per date: `trip_date, n`."""
-    return core.count_by(with_trip_date(trips), "trip_date")
+    if "trip_date" in trips.columns:
+        return core.count_by(trips, "trip_date")
+    # Group on the DATE and label each group once, not every row.
+    day = C.unplug_timestamp().cast("date")
+    counts = core.count_by(trips.select(day.alias("_day")), "_day")
+    return counts.select(F.col("_day").cast("string").alias("trip_date"), "n")
 
 
 def _on_date(trips: DataFrame, date: str) -> DataFrame:
@@ -131,7 +136,12 @@ def trips_on_date_by_user_type(trips: DataFrame, date: str = DEFAULT_DATE) -> Da
 
 def trips_per_time(trips: DataFrame) -> DataFrame:
     """Trips per time of day: `trip_time, n`."""
-    return core.count_by(with_trip_time(trips), "trip_time")
+    if "trip_time" in trips.columns:
+        return core.count_by(trips, "trip_time")
+    # Group on the full-precision label (one-to-one with the trimmed one) and trim
+    # once per group, not every row.
+    counts = core.count_by(trips.select(C.full_time(C.unplug_timestamp()).alias("_t")), "_t")
+    return counts.select(C.trim_zero_micros(F.col("_t")).alias("trip_time"), "n")
 
 
 def _in_times(trips: DataFrame, times: Sequence[str]) -> DataFrame:
@@ -140,7 +150,7 @@ def _in_times(trips: DataFrame, times: Sequence[str]) -> DataFrame:
     # A label without microseconds is the full-precision label minus ".000000", so
     # pad the few listed labels instead of trimming a label on every row.
     full = [t if "." in t else f"{t}.000000" for t in times]
-    return trips.where(F.date_format(C.unplug_timestamp(), "HH:mm:ss.SSSSSS").isin(*full))
+    return trips.where(C.full_time(C.unplug_timestamp()).isin(*full))
 
 
 def trips_in_hours(trips: DataFrame, times: Sequence[str] = DEFAULT_TIMES) -> DataFrame:
