@@ -49,3 +49,14 @@ def test_filters_reach_the_scan(spark, tmp_path):
     plan = plan_text(TR.long_trip_count(flat))
     assert "GreaterThanOrEqual(travel_time,1800)" in plan
     assert "ReadSchema: struct<travel_time:bigint>" in plan
+
+
+@pytest.mark.parametrize("name", list(catalog.REGISTRY))
+def test_aggregates_combine_map_side(spark, name):
+    # Every count/sum/avg/min/max is split into a partial (map-side) and a final
+    # step, so a key with a large share of the rows is reduced before the shuffle.
+    plan = plan_text(catalog.REGISTRY[name].build(spark, SF_SMALL))
+    for fn in ("count", "sum", "avg", "min", "max"):
+        finals = plan.count(f"functions=[{fn}(")
+        if finals:
+            assert f"partial_{fn}(" in plan, f"{name}: {fn} without a partial step"
