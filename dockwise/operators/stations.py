@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from dockwise import fixed_values as FV
 from dockwise.functions import columns as C
 from dockwise.operators import core
+from dockwise.schemas import SNAPSHOT_REPORT_COLUMNS
 
 DEFAULT_STATION = FV.STATION_NAME
 DEFAULT_LOW, DEFAULT_HIGH = FV.OCCUPANCY_RANGE
@@ -32,6 +33,12 @@ def _log(long: DataFrame, grouped: bool, page_size: int) -> DataFrame:
     return core.log_pages(long, "name", page_size=page_size) if grouped else long
 
 
+def snapshot_preview(snap: DataFrame, n: int = FV.PREVIEW_ROWS) -> DataFrame:
+    """The first `n` station rows in a total order over the report columns."""
+    cols = [c for c in SNAPSHOT_REPORT_COLUMNS if c in snap.columns]
+    return core.top_k(snap.select(*cols), [F.col(c).asc_nulls_first() for c in cols], n)
+
+
 # ---------------------------------------------------------------- 1. stations per hour
 
 

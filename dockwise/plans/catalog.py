@@ -162,6 +162,14 @@ def _never(pred: str) -> str:
     return f"SELECT name FROM snap GROUP BY name HAVING max(CASE WHEN {pred} THEN 1 ELSE 0 END) = 0"
 
 
+_st(
+    "snapshot_preview",
+    "SRC-6, TOP-4",
+    f"SELECT {', '.join(SNAPSHOT_REPORT_COLUMNS)} FROM snap ORDER BY "
+    + ", ".join(f"{c} NULLS FIRST" for c in SNAPSHOT_REPORT_COLUMNS)
+    + " LIMIT 20",
+    lambda s: ST.snapshot_preview(s, 20),
+)
 _st("stations_per_hour", "ST-1", "SELECT _id, count(*) AS n FROM snap GROUP BY _id", ST.stations_per_hour)
 _st(
     "avg_stations_per_hour",

@@ -24,6 +24,7 @@ from dockwise.operators.core import count_rows
 StationReport = Callable[[DataFrame], DataFrame]
 
 STATION_REPORTS: dict[str, StationReport] = {
+    "snapshot_preview": ST.snapshot_preview,
     "stations_per_hour": ST.stations_per_hour,
     "avg_stations_per_hour": ST.avg_stations_per_hour,
     "activation_counts": ST.activation_counts,

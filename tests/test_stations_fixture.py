@@ -188,3 +188,8 @@ def test_pages_reuse_the_range_shuffle_without_aqe(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", prev)
     assert plan.count("Exchange rangepartitioning") == 2 and "ReusedExchange" in plan
+
+
+def test_snapshot_preview_is_ordered(snap):
+    got = ST.snapshot_preview(snap, 4).collect()
+    assert [(r["_id"], r["name"]) for r in got] == [("h1", "A"), ("h1", "B"), ("h1", "Miguel Moya"), ("h2", "A")]
