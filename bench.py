@@ -96,7 +96,12 @@ def main() -> None:
     timings: dict[str, float] = {}
     for name in names:
         timings[name] = time_query(spark, catalog.REGISTRY[name].build, sf_dir, runs)
-    flat = flat_timings(spark, sf_dir, runs) if os.environ.get("BENCH_FLAT", "1") == "1" else {}
+    flat: dict[str, float | str] = {}
+    if os.environ.get("BENCH_FLAT", "1") == "1":
+        try:  # optional section: never lose the headline line over it
+            flat = flat_timings(spark, sf_dir, runs)
+        except Exception as e:  # noqa: BLE001
+            flat = {"error": f"{type(e).__name__}: {str(e).splitlines()[0][:200]}"}
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(
         json.dumps(
