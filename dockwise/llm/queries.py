@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from dockwise.llm import decontam, embed_dedup, line_dedup, mixing, tokens, warc
 from dockwise.llm.common import ship_package
-from dockwise.llm import line_dedup, mixing, warc
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,9 +21,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_tokens": lambda spark, d: tokens.round_trip(spark, _table(spark, d, "documents"), TOKENIZER),
     "op5_warc": lambda spark, d: warc.round_trip(spark, _table(spark, d, "pages")),
     "op7_line_dedup": lambda spark, d: line_dedup.digest(_table(spark, d, "documents")),
+    "op8_decontam": lambda spark, d: decontam.digest(_table(spark, d, "documents"), _table(spark, d, "benchmark")),
     "op9_mixing": lambda spark, d: mixing.digest(_table(spark, d, "documents")),
+    "op10_embed_dedup": lambda spark, d: embed_dedup.near_duplicates(_table(spark, d, "embeddings")),
 }
 
 _OP5 = """
@@ -47,4 +53,51 @@ SELECT doc_id, count(*) AS n_lines, CAST(sum(gone::INT) AS BIGINT) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id"""
 
-ORACLE_SQL: dict[str, str] = {"op5_warc": _OP5, "op7_line_dedup": _OP7}
+_OP8 = r"""
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+iw AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (
+  SELECT item_id, n, array_to_string(w[p:p + n - 1], ' ') AS k
+  FROM (SELECT *, unnest(generate_series(1, len(w) - n + 1)) AS p
+        FROM (SELECT *, least(13, len(w)) AS n FROM iw WHERE len(w) > 0))),
+lens AS (SELECT DISTINCT n FROM win),
+grams AS (
+  SELECT doc_id, p, n, array_to_string(w[p:p + n - 1], ' ') AS k
+  FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS p FROM dw, lens WHERE len(w) >= n)),
+occ AS (SELECT DISTINCT doc_id, p, n, item_id FROM grams JOIN win USING (n, k)),
+hit AS (SELECT doc_id, count(DISTINCT q) AS n_hit
+        FROM (SELECT doc_id, unnest(generate_series(p, p + n - 1)) AS q FROM occ) GROUP BY doc_id),
+its AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS s
+        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM occ) GROUP BY doc_id)
+SELECT dw.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(s, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)"""
+
+_OP10 = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND list_count(embedding) = len(embedding)
+    AND list_bool_and(list_transform(embedding, lambda x: isfinite(x)))
+    AND list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+    ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9),
+reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+comp AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(n_links, 0) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN comp USING (vec_id) LEFT JOIN n USING (vec_id)"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op5_warc": _OP5,
+    "op7_line_dedup": _OP7,
+    "op8_decontam": _OP8,
+    "op10_embed_dedup": _OP10,
+}
