@@ -13,6 +13,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -62,7 +63,21 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write `df` as Parquet to the shared folder and read it back."""
     path = shared_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def discard(*staged: DataFrame) -> None:
+    """Delete staged tables that nothing will read again, and let go of the shuffle files of
+    plans that are out of use (Spark removes them when their plans are collected)."""
+    for df in staged:
+        jvm, spark = df.sparkSession._jvm, df.sparkSession
+        path = jvm.org.apache.hadoop.fs.Path(df._staged_at)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+    gc.collect()
+    if staged:
+        staged[0].sparkSession._jvm.System.gc()
 
 
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
