@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from dockwise.llm import decontam, embed_dedup, line_dedup, mixing, suffix_dedup, tokens, warc
+from dockwise.llm import decontam, embed_dedup, line_dedup, mixing, near_dup, suffix_dedup, tokens, warc
 from dockwise.llm.common import ship_package
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -24,6 +24,7 @@ QUERIES: dict[str, Query] = {
     "op1_suffix_dedup": lambda spark, d: suffix_dedup.digest(_table(spark, d, "documents")),
     "op2_tokens": lambda spark, d: tokens.round_trip(spark, _table(spark, d, "documents"), TOKENIZER),
     "op5_warc": lambda spark, d: warc.round_trip(spark, _table(spark, d, "pages")),
+    "op6_near_dup": lambda spark, d: near_dup.digest(_table(spark, d, "documents")),
     "op7_line_dedup": lambda spark, d: line_dedup.digest(_table(spark, d, "documents")),
     "op8_decontam": lambda spark, d: decontam.digest(_table(spark, d, "documents"), _table(spark, d, "benchmark")),
     "op9_mixing": lambda spark, d: mixing.digest(_table(spark, d, "documents")),
