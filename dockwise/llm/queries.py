@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from dockwise.llm import decontam, embed_dedup, line_dedup, mixing, near_dup, suffix_dedup, tokens, toxicity, warc
+from dockwise.llm import decontam, embed_dedup, line_dedup, mixing, near_dup, pii, suffix_dedup, tokens, toxicity, warc
 from dockwise.llm.common import ship_package
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -23,6 +23,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_suffix_dedup": lambda spark, d: suffix_dedup.digest(_table(spark, d, "documents")),
     "op2_tokens": lambda spark, d: tokens.round_trip(spark, _table(spark, d, "documents"), TOKENIZER),
+    "op3_pii": lambda spark, d: pii.digest(_table(spark, d, "documents")),
     "op4_toxicity": lambda spark, d: toxicity.digest(_table(spark, d, "documents"), _table(spark, d, "labels")),
     "op5_warc": lambda spark, d: warc.round_trip(spark, _table(spark, d, "pages")),
     "op6_near_dup": lambda spark, d: near_dup.digest(_table(spark, d, "documents")),
