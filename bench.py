@@ -9,7 +9,7 @@ sum of the per-query medians.
 
 `flat_queries` (BENCH_FLAT=1, default) times the production path separately: the
 derived snapshots and trips are written once as month-partitioned flat Parquet tables
-(under `spark.checkpoint.dir`; a fresh local folder when unset), then a set of reports
+(under `spark.checkpoint.dir`; this local run sets a fresh folder when it is unset), then a set of reports
 runs on them. It does not enter `value`.
 """
 
@@ -19,6 +19,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
@@ -85,12 +86,13 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
-    spark = build_session(
-        f"local[{cpus}]",
-        shuffle_partitions=cpus,
-        app_name="dockwise-bench",
-        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g")},
-    )
+    extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g")}
+    start = lambda: build_session(f"local[{cpus}]", shuffle_partitions=cpus, app_name="dockwise-bench", extra=extra)
+    spark = start()
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        spark.stop()
+        extra["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="dockwise-bench-")
+        spark = start()
     spark.sparkContext.setLogLevel("ERROR")
     names = only or list(catalog.REGISTRY)
     timings: dict[str, float] = {}

@@ -98,11 +98,22 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(int(k))
 
 
+def semi_join(df: DataFrame, keys: DataFrame, key: str, broadcast_rows: int = 100_000) -> DataFrame:
+    """Rows of `df` whose `key` is among `keys` (null matches null).
+
+    The key list is broadcast if it has at most `broadcast_rows` rows, which is counted
+    first; a longer list is joined by shuffle.
+    """
+    listed = keys.select(F.col(key).alias("_key"))
+    if listed.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        listed = F.broadcast(listed)
+    return df.join(listed, F.col(key).eqNullSafe(F.col("_key")), "left_semi")
+
+
 def log_pages(
     long: DataFrame,
     key: str,
     page_size: int = 1024,
-    num_partitions: int | None = None,
     name: str = "log",
 ) -> DataFrame:
     """Group a long log `(key, f1, f2, ...)` into sorted arrays of at most `page_size`
@@ -112,42 +123,27 @@ def log_pages(
     its log sorted by `(f1, f2, ...)`, so a key with at most `page_size` entries has
     exactly one page, and the result does not depend on partitioning.
 
-    No key is gathered whole into one task: the log is range-partitioned on every
-    field, so a key holding a large share of the rows spans many partitions. Each
-    row's rank within its key is its position in its partition plus the number of
-    the key's rows in earlier partitions, taken from a small table with one row per
-    (key, partition).
+    `f1` is an hour label (`yyyy-MM-dd...`). Rows are ranked within (key, day); the
+    entries of a key's earlier days come from a running sum over a small table with one
+    row per (key, day). So one shuffle, by (key, day), serves the join and the ranking; a
+    task holds whole days of a key, never more of it than one day at a time. The rows of
+    a day are gathered into arrays there, and only those move on to their pages.
     """
-    spark = long.sparkSession
-    # Both sides of the join below must read the same range shuffle (one set of
-    # sampled bounds); Spark guarantees that by reusing the identical exchange.
-    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
-        raise ValueError("log_pages needs spark.sql.exchange.reuse=true")
     fields = [c for c in long.columns if c != key]
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = long.repartitionByRange(n, key, *fields).sortWithinPartitions(key, *fields)
-    part = F.spark_partition_id()
-    # monotonically_increasing_id is (partition << 33) + position in the partition,
-    # and positions follow the sort, so `_pos` is the row's place in its partition.
-    indexed = ordered.select(
-        key,
-        F.struct(*fields).alias("_e"),
-        part.alias("_part"),
-        (F.monotonically_increasing_id() - F.shiftleft(part.cast("bigint"), 33)).alias("_pos"),
-    )
-    spans = indexed.groupBy(key, "_part").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first")
-    )
-    earlier = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    spans = spans.select(
-        key, "_part", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
-    )
-    rank = F.col("s._before") + F.col("i._pos") - F.col("s._first")
-    i, s = indexed.alias("i"), spans.alias("s")
-    same = F.col(f"i.{key}").eqNullSafe(F.col(f"s.{key}")) & (F.col("i._part") == F.col("s._part"))
-    ranked = i.join(s, same).select(
-        F.col(f"i.{key}").alias(key),
-        F.col("i._e").alias("_e"),
-        F.floor(rank / F.lit(int(page_size))).cast("bigint").alias("page"),
-    )
-    return ranked.groupBy(key, "page").agg(F.sort_array(F.collect_list("_e")).alias(name))
+    # Non-null stand-ins, so that null keys and labels group and join like any other.
+    day = [
+        F.coalesce(F.col(key).cast("string"), F.lit("")).alias("_k"),
+        F.col(key).isNull().alias("_no_key"),
+        F.coalesce(F.substring(F.col(fields[0]).cast("string"), 1, 10), F.lit("")).alias("_day"),
+    ]
+    group = ["_k", "_no_key", "_day"]
+    entries = long.select(*day, F.col(key).alias("_key"), F.struct(*fields).alias("_e"))
+    per_day = entries.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("_k", "_no_key").orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_day.select(*group, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    within = Window.partitionBy(*group).orderBy("_e")
+    rank = F.col("_before") + F.row_number().over(within) - 1
+    paged = entries.join(offsets, group).withColumn("page", F.floor(rank / int(page_size)).cast("bigint"))
+    runs = paged.groupBy(*group, "_key", "page").agg(F.collect_list("_e").alias("_run"))
+    pages = runs.groupBy("_key", "page").agg(F.sort_array(F.flatten(F.collect_list("_run"))).alias(name))
+    return pages.select(F.col("_key").alias(key), "page", name)

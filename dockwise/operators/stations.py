@@ -260,13 +260,12 @@ def heavy_use_full_hours(
 ) -> DataFrame:
     """For stations with heavy use, the hours at which they were full: `name, _id`.
 
-    A semi-join of the full rows to the heavy-use station names. The name list can
-    grow with the data, so the join strategy is left to the planner: AQE broadcasts
-    it when its measured size is small and splits skewed names otherwise.
+    A semi-join of the full rows to the heavy-use station names, which are broadcast if
+    they are counted to be few.
     """
     heavy = heavy_use_stations(snap, threshold, inclusive)
     full = snap.where(C.is_full()).select("name", "_id")
-    return full.join(heavy, on="name", how="left_semi")
+    return core.semi_join(full, heavy, "name")
 
 
 # ---------------------------------------------------------------- 8. histogram

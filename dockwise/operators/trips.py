@@ -9,6 +9,8 @@ also prunes the month or day folders).
 
 from __future__ import annotations
 
+import datetime
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -109,7 +111,11 @@ def trips_per_day(trips: DataFrame) -> DataFrame:
     return counts.select(F.col("_day").cast("string").alias("trip_date"), "n")
 
 
-def _on_date(trips: DataFrame, date: str) -> DataFrame:
+def _on_date(trips: DataFrame, date: str | datetime.date) -> DataFrame:
+    date = date.isoformat()[:10] if isinstance(date, datetime.date) else str(date)
+    if "trip_date" not in trips.columns and re.fullmatch(r"\d{4}-\d\d-\d\d", date):
+        # The time's text starts with its date; this test reaches the Parquet reader.
+        trips = trips.where(F.col("unplug_hourTime").startswith(date))
     on = with_trip_date(trips).where(F.col("trip_date") == F.lit(date))
     if "trip_period" in trips.columns:
         # A flat table is partitioned by month or day: name both, so the folders of
@@ -144,7 +150,9 @@ def trips_per_time(trips: DataFrame) -> DataFrame:
     return counts.select(C.trim_zero_micros(F.col("_t")).alias("trip_time"), "n")
 
 
-def _in_times(trips: DataFrame, times: Sequence[str]) -> DataFrame:
+def _in_times(trips: DataFrame, times: Sequence[str | datetime.time]) -> DataFrame:
+    # Labels as the reports write them: microseconds only where there are any.
+    times = [(t.isoformat() if isinstance(t, datetime.time) else str(t)).removesuffix(".000000") for t in times]
     if "trip_time" in trips.columns:
         return trips.where(F.col("trip_time").isin(*times))
     # A label without microseconds is the full-precision label minus ".000000", so
@@ -299,9 +307,10 @@ def trips_from_station(trips: DataFrame, station: int = DEFAULT_STATION_ID) -> D
 
 def trips_from_least_station(trips: DataFrame) -> DataFrame:
     """Trips leaving the station(s) with the fewest departures, found and used on the
-    cluster (a semi-join; no station id goes through the driver)."""
-    least = least_departures_station(trips).select("idunplug_station")
-    return trips.join(least, on="idunplug_station", how="left_semi").select(
+    cluster (a semi-join; no station id goes through the driver). Trips without an origin
+    count as one station, as in the station counts."""
+    least = least_departures_station(trips)
+    return core.semi_join(trips, least, "idunplug_station").select(
         "user_day_code", "idplug_station", "travel_time"
     )
 

@@ -101,7 +101,7 @@ def _trip_lines(spark: SparkSession, d: str) -> DataFrame:
 _register(
     "snapshot_rows",
     "SRC-5",
-    "SELECT count(*) AS n FROM (SELECT DISTINCT strftime(l_shipdate, '%Y-%m-%d'), l_orderkey FROM lineitem)",
+    "SELECT count(*) AS n FROM lineitem",
     lambda spark, d: core.count_rows(_snapshot_lines(spark, d)),
 )
 _register(
@@ -219,6 +219,12 @@ _st("empty_stations", "ST-15", _distinct(EMPTY), ST.empty_stations)
 _st("empty_station_count", "ST-16", _count_distinct(EMPTY), ST.empty_station_count)
 _st("never_empty_stations", "ST-17", _never(EMPTY), ST.never_empty_stations)
 _st("empty_log", "ST-18", f"SELECT name, _id, dock_bikes FROM snap WHERE {EMPTY}", ST.empty_log)
+_st(
+    "empty_log_as_written",
+    "ST-18",
+    f"SELECT name, _id, dock_bikes FROM snap WHERE {IN_RANGE}",
+    lambda s: ST.empty_log(s, as_written=True),
+)
 _st(
     "reservation_value_counts",
     "ST-19",
@@ -234,6 +240,12 @@ _st(
     f"(SELECT name, max(CASE WHEN {RESERVED} THEN 1 ELSE 0 END) AS hit FROM snap GROUP BY name)",
     ST.reserved_station_pct,
 )
+_st(
+    "reserved_station_pct_of_264",
+    "ST-21",
+    f"SELECT CAST(count(*) * 100 AS DOUBLE) / 264 AS pct FROM ({_distinct(RESERVED)})",
+    lambda s: ST.reserved_station_pct(s, total=264),
+)
 _st(
     "reservation_log",
     "ST-22",
@@ -318,6 +330,25 @@ for _name, _survey, _pred, _fields, _exprs, _fn in (
         lambda s, fn=_fn, fields=_fields: _log_text(fn(s, grouped=True), fields),
     )
 
+
+def _heavy_use_pages(snap: DataFrame) -> DataFrame:
+    """Grouped heavy-use log; the share is rendered in whole ten-thousandths."""
+    pages = ST.heavy_use_log(snap, grouped=True)
+    entry = lambda e: F.concat_ws(",", e["_id"], F.round(e["free_ratio"] * 10000).cast("bigint"))
+    return pages.select("name", "page", F.array_join(F.transform("log", entry), ";").alias("log"))
+
+
+_st(
+    "heavy_use_log_pages",
+    "ST-27",
+    _log_pages_sql(
+        HEAVY,
+        ("_id", "share"),
+        ("_id", "CAST(round(CAST(free_bases AS DOUBLE) / CAST(total_bases AS DOUBLE) * 10000) AS BIGINT)"),
+    ),
+    _heavy_use_pages,
+)
+
 # ------------------------------------------------------------------ trips
 
 ON_DATE = f"trip_date = '{DERIVED_DATE}'"
@@ -445,8 +476,8 @@ _tr(
 _tr(
     "trips_from_least_station",
     "TR-21, TR-22",
-    f"SELECT user_day_code, idplug_station, travel_time FROM trips "
-    f"WHERE idunplug_station IN (SELECT idunplug_station FROM ({LEAST}))",
+    f"SELECT user_day_code, idplug_station, travel_time FROM trips t "
+    f"WHERE EXISTS (SELECT 1 FROM ({LEAST}) l WHERE l.idunplug_station IS NOT DISTINCT FROM t.idunplug_station)",
     TR.trips_from_least_station,
 )
 _tr(

@@ -6,17 +6,21 @@
 The defaults of the original analysis apply (``dockwise.fixed_values``). Each
 report is written to `<out>/<name>` by the executors; nothing is collected to the
 driver. Inputs are JSON Lines files or folders, or flat Parquet tables written by
-``dockwise.sources.flat_table`` (`--flat`).
+``dockwise.sources.flat_table`` (`--flat`). JSON inputs are parsed once, into flat tables
+under `--stage` (by default under `spark.checkpoint.dir`), and all reports run on those.
 """
 
 from __future__ import annotations
 
 import argparse
 import os
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
+from dockwise import fixed_values as FV
 from dockwise.operators import stations as ST
 from dockwise.operators import trips as TR
 from dockwise.operators.core import count_rows
@@ -44,10 +48,12 @@ STATION_REPORTS: dict[str, StationReport] = {
     "empty_station_count": ST.empty_station_count,
     "never_empty_stations": ST.never_empty_stations,
     "empty_log": ST.empty_log,
+    "empty_log_as_written": lambda s: ST.empty_log(s, as_written=True),
     "reservation_value_counts": ST.reservation_value_counts,
     "reserved_stations": ST.reserved_stations,
     "reserved_station_count": ST.reserved_station_count,
     "reserved_station_pct": ST.reserved_station_pct,
+    "reserved_station_pct_of_264": lambda s: ST.reserved_station_pct(s, total=FV.STATION_COUNT),
     "reservation_log": ST.reservation_log,
     "full_stations": ST.full_stations,
     "full_station_count": ST.full_station_count,
@@ -55,9 +61,16 @@ STATION_REPORTS: dict[str, StationReport] = {
     "full_hours_per_station": ST.full_hours_per_station,
     "heavy_use_stations": ST.heavy_use_stations,
     "heavy_use_count": ST.heavy_use_count,
+    "heavy_use_count_strict": lambda s: ST.heavy_use_count(s, inclusive=False),
     "heavy_use_log": ST.heavy_use_log,
     "heavy_use_full_hours": ST.heavy_use_full_hours,
     "dock_histogram": ST.dock_histogram,
+    "broken_log_pages": lambda s: ST.broken_log(s, grouped=True),
+    "occupancy_range_log_pages": lambda s: ST.occupancy_range_log(s, grouped=True),
+    "empty_log_pages": lambda s: ST.empty_log(s, grouped=True),
+    "reservation_log_pages": lambda s: ST.reservation_log(s, grouped=True),
+    "full_log_pages": lambda s: ST.full_log(s, grouped=True),
+    "heavy_use_log_pages": lambda s: ST.heavy_use_log(s, grouped=True),
 }
 
 TRIP_REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
@@ -65,6 +78,7 @@ TRIP_REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "trip_preview": TR.trip_preview,
     "trips_by_user_type": TR.trips_by_user_type,
     "trips_of_user_type": TR.trips_of_user_type,
+    "trip_count_of_user_type": TR.trip_count_of_user_type,
     "trip_counts_of_user_types": TR.trip_counts_of_user_types,
     "trips_per_day": TR.trips_per_day,
     "trips_on_date": TR.trips_on_date,
@@ -77,6 +91,7 @@ TRIP_REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "durations_in_hours_between": TR.durations_in_hours_between,
     "duration_range_count": TR.duration_range_count,
     "long_trip_count": TR.long_trip_count,
+    "long_trip_count_strict": lambda t: TR.long_trip_count(t, inclusive=False),
     "long_trip_mean_minutes": TR.long_trip_mean_minutes,
     "duration_histogram": TR.duration_histogram,
     "duration_bins": TR.duration_bins,
@@ -122,22 +137,39 @@ def write_reports(reports: dict[str, DataFrame], out_dir: str, fmt: str = "parqu
     return paths
 
 
-def _load(spark: SparkSession, args: argparse.Namespace) -> tuple[DataFrame | None, DataFrame | None]:
+def _load(spark: SparkSession, args: argparse.Namespace) -> tuple[DataFrame | None, DataFrame | None, dict[str, DataFrame]]:
+    """Flat snapshots and trips, and reports that only the parse can give."""
+    from dockwise.session import staging_path
     from dockwise.sources import flatten_snapshots, read_snapshots, read_trips
-    from dockwise.sources.flat_table import read_flat_snapshots, read_flat_trips
+    from dockwise.sources.flat_table import read_flat_snapshots, read_flat_trips, write_flat_snapshots, write_flat_trips
 
     snap = trips = None
+    extra: dict[str, DataFrame] = {}
+    stage = args.stage
+    if not args.flat and not stage:
+        stage = staging_path(spark, f"reports-{uuid.uuid4().hex}")
     if args.snapshots:
-        if args.flat:
-            snap = read_flat_snapshots(spark, args.snapshots)
-        else:
-            snap = flatten_snapshots(read_snapshots(spark, args.snapshots, mode=args.mode))
+        path = args.snapshots
+        if not args.flat:
+            path = os.path.join(stage, "snapshots")
+            nested = read_snapshots(spark, args.snapshots, mode=args.mode)
+            # Parsed once: the flat table's range step reads its input twice, so the parsed
+            # rows are stored first, and the lines are counted as they pass.
+            lines = Observation("lines")
+            parsed = os.path.join(stage, "parsed_snapshots")
+            nested.observe(lines, F.count(F.lit(1)).alias("n")).write.parquet(parsed)
+            extra["snapshot_rows"] = spark.createDataFrame([(lines.get["n"],)], "n long")
+            write_flat_snapshots(flatten_snapshots(spark.read.schema(nested.schema).parquet(parsed)), path)
+        snap = read_flat_snapshots(spark, path)
     if args.trips:
-        if args.flat:
-            trips = read_flat_trips(spark, args.trips)
-        else:
-            trips = read_trips(spark, args.trips, mode=args.mode)
-    return snap, trips
+        path = args.trips
+        if not args.flat:
+            path, parsed = os.path.join(stage, "trips"), os.path.join(stage, "parsed_trips")
+            read = read_trips(spark, args.trips, mode=args.mode)
+            read.write.parquet(parsed)
+            write_flat_trips(spark.read.schema(read.schema).parquet(parsed), path)
+        trips = read_flat_trips(spark, path)
+    return snap, trips, extra
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -149,12 +181,13 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--out", required=True, help="output folder, one sub-folder per report")
     p.add_argument("--format", default="parquet", choices=["parquet", "json", "csv"])
     p.add_argument("--flat", action="store_true", help="inputs are flat Parquet tables")
+    p.add_argument("--stage", help="folder for the parsed inputs, shared by the cluster")
     p.add_argument("--mode", default="FAILFAST", choices=["FAILFAST", "PERMISSIVE", "DROPMALFORMED"])
     p.add_argument("--master", default=None)
     args = p.parse_args(argv)
     spark = build_session(args.master)
-    snap, trips = _load(spark, args)
-    for path in write_reports(all_reports(snap, trips), args.out, args.format):
+    snap, trips, extra = _load(spark, args)
+    for path in write_reports(extra | all_reports(snap, trips), args.out, args.format):
         print(path)
 
 

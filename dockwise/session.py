@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings applied by `build_session`. AQE re-plans from measured sizes: it merges
 # small shuffle partitions, splits skewed ones in joins, and turns a sort-merge join
@@ -41,45 +40,31 @@ def build_session(
     return builder.getOrCreate()
 
 
-def settings_for_input(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
-    """Shuffle and split sizes for a job reading about `input_bytes`.
+def settings_for_shuffle(shuffle_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Shuffle partitions for a job whose largest shuffle moves about `shuffle_bytes`.
 
-    Starts with enough shuffle partitions that each holds about
-    `target_partition_bytes` of the input (never fewer than 200) and lets AQE merge
-    them down to that advisory size after the map side has measured its output;
-    scan splits of the same size keep one task's input within executor memory.
-    Pass the result as `extra` to `build_session` or set it on the session.
+    Size by what is shuffled, not by what is read: the reports aggregate on the map side,
+    so 100 TB of input shuffles a few rows per map task and needs no more than the default
+    200 partitions, whereas writing flat tables shuffles all rows. Every map task keeps an
+    entry per shuffle partition, so partitions are never set beyond need. AQE merges what
+    turns out small. Pass the result as `extra` to `build_session`.
     """
-    partitions = max(200, -(-int(input_bytes) // int(target_partition_bytes)))
+    partitions = max(200, -(-int(shuffle_bytes) // int(target_partition_bytes)))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
     }
 
 
-def estimated_size_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of `df` (from file sizes and the optimized plan).
-
-    Planning only: no job runs. Used to size decisions before execution.
-    """
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and staged tables (`spark.checkpoint.dir`).
+    """The folder for staged tables that `spark.checkpoint.dir` names.
 
-    A cluster names it; only a local session (tests, local runs) without one gets
-    a local folder. On a cluster a missing setting is an error: a machine-local
-    folder would not survive the loss of the executor that wrote it.
+    It must be shared by the driver and all executors, so there is no default: an unset
+    setting is an error, locally as on a cluster.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        current = tempfile.mkdtemp(prefix="dockwise-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     return current
 
 

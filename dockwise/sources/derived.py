@@ -14,45 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockwise.schemas import SNAPSHOT_REPORT_COLUMNS, STATION, TRIP_COLUMNS
-from dockwise.session import estimated_size_bytes
 
-# DataFrame definitions of `lineitem` already built, per session and path. Only the
-# plan is kept (file listing, footer schema, split count), never the data, so
-# each query still scans the files.
-_LINEITEM: dict[tuple[int, str, int | None], DataFrame] = {}
-
-
-def load_lineitem(spark: SparkSession, sf_dir: str, min_partitions: int | None = None) -> DataFrame:
-    """The folder's `lineitem` table; see ``ensure_parallelism`` for `min_partitions`."""
-    path = f"{sf_dir.rstrip('/')}/lineitem.parquet"
-    key = (id(spark), path, min_partitions)
-    if key not in _LINEITEM:
-        df = spark.read.parquet(path)
-        # An order has at most seven lines, so hashing on it spreads rows evenly, and
-        # the nested snapshots (grouped per order) need no second shuffle.
-        _LINEITEM[key] = ensure_parallelism(df, ("l_orderkey",), min_partitions)
-    return _LINEITEM[key]
-
-
-# Smallest input share worth a task of its own when spreading a small input.
-MIN_BYTES_PER_TASK = 1 << 20
-
-
-def ensure_parallelism(df: DataFrame, key: tuple[str, ...], min_partitions: int | None = None) -> DataFrame:
-    """Spread `df` over more tasks when its scan yields fewer than the session's
-    default parallelism (or `min_partitions`), as a single unsplittable Parquet row
-    group does; at most one task per `MIN_BYTES_PER_TASK` of input, so a small table
-    on a large cluster is not cut into thousands of slivers.
-
-    Rows are hash-partitioned on `key`, which should hold few rows per value (so no
-    partition is skewed); hashing is deterministic, so a retried task gets the same rows. Inputs that already scan in enough
-    splits, as any large table does, are returned unchanged: no shuffle is added
-    where the data is big.
-    """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    want = min(want, max(1, estimated_size_bytes(df) // MIN_BYTES_PER_TASK))
-    have = df.rdd.getNumPartitions()
-    return df.repartition(want, *key) if have < want else df
+def load_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The folder's `lineitem` table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet")
 
 
 def _day() -> F.Column:
@@ -65,12 +30,11 @@ def _mod(col: str | F.Column, n: int) -> F.Column:
     return c % F.lit(n)
 
 
-def snapshots_from_lineitem(lineitem: DataFrame, keep_order: bool = False) -> DataFrame:
+def snapshots_from_lineitem(lineitem: DataFrame) -> DataFrame:
     """Flat snapshots `(_id, name, id, activate, total_bases, free_bases,
     reservations_count, dock_bikes)`, one row per lineitem row.
 
-    Unlike a real feed a station can appear more than once in an hour. With
-    ``keep_order`` the source `l_orderkey` is kept as a last column.
+    Unlike a real feed a station can appear more than once in an hour.
     """
     supp = F.col("l_suppkey")
     zero = F.lit(0).cast("bigint")
@@ -99,7 +63,6 @@ def snapshots_from_lineitem(lineitem: DataFrame, keep_order: bool = False) -> Da
         (lo + seq % (hi - lo + 1)).alias("dock_bikes"),
         r_cap.alias("_r_cap"),
         b_cap.alias("_b_cap"),
-        "l_orderkey",
     )
     # With room = total - docked >= 0 and caps >= 0:
     #   reserved = least(room, r_cap);  left = room - reserved = greatest(room - r_cap, 0)
@@ -116,33 +79,24 @@ def snapshots_from_lineitem(lineitem: DataFrame, keep_order: bool = False) -> Da
         "*",
         F.greatest(F.col("_left") - F.col("_b_cap"), zero).alias("free_bases"),
     )
-    cols = SNAPSHOT_REPORT_COLUMNS + (("l_orderkey",) if keep_order else ())
-    return flat.select(*cols)
+    return flat.select(*SNAPSHOT_REPORT_COLUMNS)
 
 
 def nested_snapshots_from_lineitem(lineitem: DataFrame) -> DataFrame:
     """Snapshot lines `(_id, stations)` in the shape of the hourly feed.
 
-    Stations are nested per (hour, order), so one array holds at most one order's
-    lines (seven) however large `lineitem` grows. Several lines can share an `_id`;
-    the flat table does not depend on how rows are grouped into lines. Station
-    fields the derivation does not produce are null.
+    Each `lineitem` row gives one line with a one-element array, so nesting needs no
+    shuffle. Several lines can share an `_id`; the flat table does not depend on how rows
+    are grouped into lines. Station fields the derivation does not produce are null.
     """
-    flat = snapshots_from_lineitem(lineitem, keep_order=True)
+    flat = snapshots_from_lineitem(lineitem)
     station = F.struct(
         *[
             (F.col(f.name) if f.name in flat.columns else F.lit(None).cast(f.dataType)).alias(f.name)
             for f in STATION.fields
         ]
     )
-    # Groups hold at most seven rows, so a map-side partial collect_list would save
-    # nothing; hash-partition on the order (which co-locates every (hour, order)
-    # group) and aggregate after that one shuffle. When the input was already spread
-    # on the order (`ensure_parallelism`), Spark keeps that single exchange.
-    keyed = flat.repartition("l_orderkey")
-    return keyed.groupBy("_id", "l_orderkey").agg(F.collect_list(station).alias("stations")).select(
-        "_id", "stations"
-    )
+    return flat.select("_id", F.array(station).alias("stations"))
 
 
 def snapshot_json_lines(lineitem: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
     python scripts/dump_plans.py [sf_dir]
 
-Each query is run once (into a no-op sink through its own DataFrame), so the plan
+For small data: each query's rows are collected once, so the plan
 shown is AQE's final plan: the join strategies chosen at runtime, reused
 exchanges, and the pruned read schema of every scan.
 """

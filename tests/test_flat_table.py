@@ -1,4 +1,4 @@
-"""Flat Parquet tables (batch and streaming ingest) and reports run on them."""
+"""Flat Parquet tables and reports run on them."""
 
 import json
 import os
@@ -13,7 +13,6 @@ from dockwise.sources.flat_table import (
     write_flat_snapshots,
     write_flat_trips,
 )
-from dockwise.streaming.ingest import ingest_snapshots, ingest_trips
 from fixtures import SNAPSHOTS, TRIPS, station_dict, trips_df
 from conftest import as_dict, rows
 
@@ -59,35 +58,3 @@ def test_flat_snapshots_round_trip(spark, tmp_path):
     assert back.count() == 9
     assert as_dict(ST.full_hours_per_station(back), "name") == {"B": 2, "Miguel Moya": 1}
     assert [r[0] for r in back.select("snapshot_period").distinct().collect()] == ["2021-06"]
-
-
-def test_streaming_trip_ingest_is_incremental(spark, tmp_path):
-    incoming = tmp_path / "in"
-    incoming.mkdir()
-    out = str(tmp_path / "flat_trips")
-    ckpt = str(tmp_path / "ckpt")
-    write_trip_file(incoming / "a.json", TRIPS[:6])
-    q = ingest_trips(spark, str(incoming), out, checkpoint=ckpt)
-    q.awaitTermination(120)
-    assert read_flat_trips(spark, out).count() == 6
-    write_trip_file(incoming / "b.json", TRIPS[6:])
-    q = ingest_trips(spark, str(incoming), out, checkpoint=ckpt)
-    q.awaitTermination(120)
-    flat = read_flat_trips(spark, out)
-    assert flat.count() == len(TRIPS)  # the first file is not ingested twice
-    assert rows(TR.least_departures_station(flat)) == [(30, 2)]
-    assert TR.round_trip_count(flat).first()["n"] == 5
-
-
-def test_streaming_snapshot_ingest(spark, tmp_path):
-    incoming = tmp_path / "in"
-    incoming.mkdir()
-    with open(incoming / "s.json", "w") as f:
-        for hour, stations in SNAPSHOTS:
-            f.write(json.dumps({"_id": hour, "stations": [station_dict(*s) for s in stations]}) + "\n")
-    out = str(tmp_path / "flat_snap")
-    q = ingest_snapshots(spark, str(incoming), out, checkpoint=str(tmp_path / "ckpt"))
-    q.awaitTermination(120)
-    flat = read_flat_snapshots(spark, out)
-    assert flat.count() == 9
-    assert sorted(r["name"] for r in ST.never_empty_stations(flat).collect()) == ["B"]

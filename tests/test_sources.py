@@ -97,12 +97,36 @@ def test_half_even_bins_python(spark):
     assert res == {v: round(v, -2) / 100 for v in sample}
 
 
-def test_settings_for_input():
-    from dockwise.session import settings_for_input
+def test_settings_for_shuffle():
+    from dockwise.session import settings_for_shuffle
 
-    big = settings_for_input(100 * 10**12)
-    assert int(big["spark.sql.shuffle.partitions"]) == -(-100 * 10**12 // (256 << 20))
-    assert settings_for_input(10**6)["spark.sql.shuffle.partitions"] == "200"
+    big = settings_for_shuffle(10**12)
+    assert int(big["spark.sql.shuffle.partitions"]) == -(-(10**12) // (256 << 20))
+    assert settings_for_shuffle(10**6)["spark.sql.shuffle.partitions"] == "200"
+
+
+def test_counting_parses_every_line(spark, tmp_path):
+    from dockwise.operators.core import count_rows
+    from dockwise.sources.json_lines import read_trip_lines
+
+    good = tmp_path / "good.json"
+    good.write_text('{"user_type": 1, "travel_time": 5}\n\n{"user_type": 2}\n')
+    assert count_rows(read_trip_lines(spark, str(good))).first()["n"] == 2  # blank lines give no row
+    bad = tmp_path / "bad.json"
+    bad.write_text('{"user_type": 1, "travel_time": 5}\n{"user_type": 1, "trav\n')
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        count_rows(read_trip_lines(spark, str(bad))).collect()
+
+
+def test_checkpoint_folder_must_be_named(spark):
+    from types import SimpleNamespace
+
+    from dockwise.session import checkpoint_dir
+
+    assert checkpoint_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    unset = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: default))
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(unset)
 
 
 def test_labels_match_python_isoformat(spark):

@@ -146,10 +146,7 @@ def test_pages_match_row_number_and_are_bounded(spark):
     from dockwise.operators.core import log_pages
 
     long = _hot_log(spark)
-    pages = log_pages(long, "name", page_size=100, num_partitions=16)
-    collected = pages.collect()
-    # both sides of the rank join read one range shuffle (same sampled bounds)
-    assert "ReusedExchange" in pages._jdf.queryExecution().executedPlan().toString()
+    collected = log_pages(long, "name", page_size=100).collect()
     sizes = [len(r["log"]) for r in collected]
     assert max(sizes) <= 100 and sum(sizes) == 5000
     got = sorted(
@@ -166,28 +163,39 @@ def test_pages_match_row_number_and_are_bounded(spark):
     assert sum(1 for r in collected if r["name"] == "HOT") == 45  # 4499 entries, pages of 100
 
 
-def test_pages_are_independent_of_partitioning(spark):
+def test_pages_do_not_depend_on_partitions_or_exchange_reuse(spark):
     from dockwise.operators.core import log_pages
 
-    long = _hot_log(spark, 3000)
-    a = log_pages(long, "name", page_size=64, num_partitions=3)
-    b = log_pages(long, "name", page_size=64, num_partitions=11)
-    norm = lambda df: sorted((r["name"] or "", r["page"], tuple(tuple(e) for e in r["log"])) for r in df.collect())
-    assert norm(a) == norm(b)
+    def pages(**conf):
+        before = {k: spark.conf.get(k, None) for k in conf}
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        try:
+            got = log_pages(_hot_log(spark, 3000), "name", page_size=64).collect()
+        finally:
+            for k, v in before.items():
+                spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+        return sorted((r["name"] or "", r["page"], tuple(tuple(e) for e in r["log"])) for r in got)
 
+    want = pages()
+    assert pages(**{"spark.sql.shuffle.partitions": "3"}) == want
+    assert pages(**{"spark.sql.exchange.reuse": "false", "spark.sql.adaptive.enabled": "false"}) == want
 
-def test_pages_reuse_the_range_shuffle_without_aqe(spark):
+
+def test_pages_shuffle_the_log_once(spark):
     from dockwise.operators.core import log_pages
 
-    prev = spark.conf.get("spark.sql.adaptive.enabled")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        pages = log_pages(_hot_log(spark, 2000), "name", page_size=50, num_partitions=5)
-        pages.collect()
-        plan = pages._jdf.queryExecution().executedPlan().toString()
+        plan = log_pages(_hot_log(spark, 2000), "name")._jdf.queryExecution().executedPlan().toString()
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", prev)
-    assert plan.count("Exchange rangepartitioning") == 2 and "ReusedExchange" in plan
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert "rangepartitioning" not in plan
+    # Rows of the log move by (key, day) only; counts and finished arrays are other exchanges.
+    moves = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert sum("_day" in line for line in moves) == 2  # the log, and its counts
+    assert len(moves) == 4  # those, the counts by key, and the arrays by page
 
 
 def test_snapshot_preview_is_ordered(snap):
