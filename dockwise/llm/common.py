@@ -49,13 +49,12 @@ def ship_package(spark: SparkSession) -> None:
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh path under `spark.checkpoint.dir`; nothing is created yet.
 
-    Where the setting is unset (tests), the folder is put beside the warehouse, which a
+    Where the setting is unset (tests), the folder is put below the warehouse, which a
     cluster shares as well; a machine-local temporary folder is never used.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
-        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
