@@ -318,7 +318,8 @@ def repeated_starts(keyed: DataFrame, window: int) -> DataFrame:
     lo = F.shiftright("pos", 20)
     out = whole.select(*KEY, lo.alias("lo"), (lo + F.shiftright("pos", 10).bitwiseAND(F.lit(1023))).alias("hi"))
     work = stage(cut_blocks(keyed, look, window), "suffix-work")
-    for cell in CELLS:
+    # A cell's windows must have most of their bytes in common.
+    for cell in (c for c in CELLS if c == 1 or c <= window // 4):
         found, go_on = run_pass(work, cell, window)
         out = out.union(found)
         if cell > 1:
