@@ -51,7 +51,7 @@ LATIN_END = "ɐ"
 class WordIds(dict):
     """Serialized ids of a chunk of text without spaces; two generations of `limit` entries."""
 
-    def __init__(self, tokenizer_json: str, limit: int = 400_000) -> None:
+    def __init__(self, tokenizer_json: str, limit: int = 300_000) -> None:
         super().__init__()
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.model, self.normalizer = self.tokenizer.model, self.tokenizer.normalizer
@@ -66,6 +66,11 @@ class WordIds(dict):
     def __missing__(self, chunk: str) -> bytes:
         ids = self.older.get(chunk)
         if ids is None:
+            # Capitals and a comma or stop behind a word are not stored again.
+            if chunk[-1:] in TAIL and chunk[:-1].isalpha():
+                return self[chunk[:-1]] + self.tails[chunk[-1]]
+            if chunk.isascii() and chunk.isalpha() and not chunk.islower():
+                return self[chunk.lower()]
             ids = self._encode(chunk)
         if len(self) >= self.limit:
             self.older = dict(self)
@@ -78,16 +83,11 @@ class WordIds(dict):
             return b""
         if chunk.isalpha() and max(chunk) < LATIN_END:
             if chunk.isascii():
-                low = chunk.lower()
-                if low != chunk:
-                    return self[low]
                 return self._pack([t.id for t in self.model.tokenize(chunk)])
             normal = self.normalizer.normalize_str(chunk)
             if normal.isalpha():
                 mapped = self.mapping.pre_tokenize_str(normal)[0][0]
                 return self._pack([t.id for t in self.model.tokenize(mapped)])
-        elif chunk[-1] in TAIL and chunk[:-1].isalpha():
-            return self[chunk[:-1]] + self.tails[chunk[-1]]
         return self._pack(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
 
     def text(self, text: str, end: bytes) -> bytes:
@@ -126,8 +126,11 @@ def train_dictionary(docs: DataFrame, tokenizer_json, end: bytes, sample_docs: i
             out = [ids.text(t.decode(), end)[: sample_bytes // sample_docs] for t in texts(batch)]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["ids"])
 
-    sample = docs.orderBy(F.xxhash64("_id"), "_h").limit(sample_docs).select("text").mapInArrow(run, "ids binary")
-    samples = [bytes(r["ids"]) for r in sample.collect()]
+    # The cut is found on ids alone, so no task or driver merges more texts than the sample.
+    order = F.xxhash64("_id")
+    least = docs.select(order.alias("o")).orderBy("o").limit(sample_docs).agg(F.max("o")).first()[0]
+    sample = docs.where(order <= F.lit(least if least is not None else 0)).limit(sample_docs)
+    samples = [bytes(r["ids"]) for r in sample.select("text").mapInArrow(run, "ids binary").collect()]
     try:
         return zstandard.train_dictionary(dict_bytes, samples).as_bytes()
     except zstandard.ZstdError:
@@ -224,8 +227,8 @@ def open_shard(path: str) -> Shard:
         return Shard(source, d.read())
 
 
-def read_shards(manifest: DataFrame) -> DataFrame:
-    """Every document of the shards in order of `start`: `doc_id, start, n_tokens, ids`."""
+def _read(manifest: DataFrame, column: str, kind: str, of, to_arrow: pa.DataType) -> DataFrame:
+    """Every document of the shards, with `of` its serialized ids as `column`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -237,23 +240,32 @@ def read_shards(manifest: DataFrame) -> DataFrame:
                     b = min(a + step, len(shard.doc_ids))
                     ids = [shard.ids(i) for i in range(a, b)]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(shard.doc_ids[a:b], mask=~shard.valid[a:b]), pa.array(starts[a:b]), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
-                        ["doc_id", "start", "n_tokens", "ids"],
+                        [
+                            pa.array(shard.doc_ids[a:b], mask=~shard.valid[a:b]),
+                            pa.array(starts[a:b]),
+                            pa.array([len(x) // 4 for x in ids], pa.int64()),
+                            pa.array([of(x) for x in ids], to_arrow),
+                        ],
+                        ["doc_id", "start", "n_tokens", column],
                     )
 
     spark = manifest.sparkSession
     placed = running_offsets(manifest.select("shard", "path", "tokens"), ["shard"], "tokens")
     tasks = placed.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "shard")
-    return tasks.select("path", "before").mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
+    return tasks.select("path", "before").mapInArrow(run, f"doc_id long, start long, n_tokens long, {column} {kind}")
+
+
+def read_shards(manifest: DataFrame) -> DataFrame:
+    """`doc_id, start, n_tokens, ids` of every document; ids as little-endian 32-bit integers."""
+    return _read(manifest, "ids", "binary", lambda ids: ids, pa.binary())
 
 
-def _crc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        crc = [zlib.crc32(v.as_buffer()) for v in batch.column("ids")]
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "start", "n_tokens")), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+def checksums(manifest: DataFrame) -> DataFrame:
+    """`doc_id, start, n_tokens, ids_crc32` of every document."""
+    return _read(manifest, "ids_crc32", "long", zlib.crc32, pa.int64())
 
 
 def round_trip(spark: SparkSession, docs: DataFrame, tokenizer_path: str, end_id: int = 1) -> DataFrame:
     """The registered query: write the shards, read them back."""
     manifest = write_shards(docs, shared_folder(spark, "tokens"), tokenizer_path, end_id)
-    return read_shards(manifest).mapInArrow(_crc, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return checksums(manifest)
