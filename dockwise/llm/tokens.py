@@ -51,7 +51,7 @@ LATIN_END = "ɐ"
 class WordIds(dict):
     """Serialized ids of a chunk of text without spaces; two generations of `limit` entries."""
 
-    def __init__(self, tokenizer_json: str, limit: int = 300_000) -> None:
+    def __init__(self, tokenizer_json: str, limit: int = 600_000) -> None:
         super().__init__()
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.model, self.normalizer = self.tokenizer.model, self.tokenizer.normalizer
