@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 KEY = ("_k1", "_k2")
+EDGES_PER_TASK = 50_000
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -137,9 +138,13 @@ def connected_components(edges: DataFrame, src: str, dst: str, name: str) -> Dat
     that label's own label. Labels fall to the minimum in about log2(diameter) rounds.
     Rounds are written tables; the loop ends when no label changes.
     """
-    both = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u <> v")
-    both = stage(both.union(both.select("v", "u")).distinct(), f"{name}-edges")
-    labels = stage(both.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.col("u")).alias("label")), f"{name}-labels")
+    one = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u <> v")
+    ways = F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))
+    both = stage(one.select(F.inline(ways)).distinct(), f"{name}-edges")
+    # As many tasks as the graph needs, whatever the session's number of partitions.
+    tasks = both.count() // EDGES_PER_TASK + 1
+    first = both.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.col("u")).alias("label"))
+    labels = stage(first.coalesce(tasks), f"{name}-labels")
     while True:
         heard = (
             both.join(labels, both.v == labels.node)
@@ -153,7 +158,7 @@ def connected_components(edges: DataFrame, src: str, dst: str, name: str) -> Dat
         new = stage(
             low.join(jump, "low", "left").select(
                 "node", "old", F.least("low", F.coalesce("far", "low")).alias("label")
-            ),
+            ).coalesce(tasks),
             f"{name}-labels",
         )
         if new.where("label <> old").limit(1).count() == 0:

@@ -12,12 +12,14 @@ documents of a piece at once.
 band with probability 1 - (1 - 0.8**5)**24 = 0.9999. Then:
 
 1. Exact copies (equal word sequences) are one node, named by their smallest id.
-2. Every node of a band's bucket is paired with the bucket's smallest node, its leader, so a
-   bucket of n nodes gives n - 1 pairs. Each node is first verified against the leader it
-   shares most bands with, then, while they are in different components, against the rest.
-3. Buckets that still hold several components have their other pairs compared as well: by
+2. Every node of a band's bucket is paired with the bucket's leader, the node that shares
+   buckets with most nodes (of a group of copies, likely what they were made from), so a
+   bucket of n nodes gives n - 1 pairs. Each node is verified against the leader it shares
+   most bands with; components of these links follow.
+3. Buckets that hold several components have the pairs between them compared as well: by
    signature (registers agreeing within five standard deviations of the threshold), in the
-   first band that a pair shares, and then exactly. Large buckets are cut into pairs of
+   first band that a pair shares, by `WIDE` further registers of eight bits (all registers
+   within four deviations), and then exactly. Large buckets are cut into pairs of
    blocks for separate tasks. Nothing is capped: pairs inside a component need no look.
 
 Verification is exact: the probability Jaccard similarity of the counts or the Jaccard
@@ -45,8 +47,10 @@ from dockwise.llm.suffix_dedup import Hasher, _mix
 SHINGLE = 5
 BANDS, ROWS = 24, 5
 REGISTERS = BANDS * ROWS
+WIDE = 512  # further registers, for pairs of a bucket
 BLOCK = 2048
 SALT_ROWS = 256
+KNOWN = 2_000_000  # shingles that a task keeps at hand
 PIECE = 1 << 20
 
 LOWER = np.arange(256, dtype=np.uint8)
@@ -92,10 +96,10 @@ def weighted(hashes: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return hashes[at], doc[at], np.diff(np.append(at, len(hashes)))
 
 
-def signatures(hashes: np.ndarray, doc: np.ndarray, weight: np.ndarray, n_docs: int) -> np.ndarray:
+def signatures(hashes: np.ndarray, doc: np.ndarray, weight: np.ndarray, n_docs: int, registers: int = REGISTERS) -> np.ndarray:
     """ProbMinHash registers (32 bits of the winning shingle) per document."""
-    first = np.full(n_docs * REGISTERS, np.inf)
-    winner = np.zeros(n_docs * REGISTERS, np.uint32)
+    first = np.full(n_docs * registers, np.inf)
+    winner = np.zeros(n_docs * registers, np.uint32)
     name = (hashes >> np.uint64(32)).astype(np.uint32)
     active, time = np.arange(len(hashes)), np.zeros(len(hashes))
     drawn, block = 0, 1
@@ -105,8 +109,8 @@ def signatures(hashes: np.ndarray, doc: np.ndarray, weight: np.ndarray, n_docs:
         bits = _mix(seed)
         gap = -np.log(((bits >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53) / weight[active][:, None]
         arrival = time[:, None] + np.cumsum(gap, axis=1)
-        register = (_mix(bits ^ np.uint64(0xA5A5A5A5A5A5A5A5)) >> np.uint64(33)).astype(np.int64) % REGISTERS
-        place = (doc[active][:, None] * REGISTERS + register).reshape(-1)
+        register = (_mix(bits ^ np.uint64(0xA5A5A5A5A5A5A5A5)) >> np.uint64(33)).astype(np.int64) % registers
+        place = (doc[active][:, None] * registers + register).reshape(-1)
         flat = arrival.reshape(-1)
         better = flat < first[place]
         place, flat = place[better], flat[better]
@@ -114,10 +118,25 @@ def signatures(hashes: np.ndarray, doc: np.ndarray, weight: np.ndarray, n_docs:
         won = flat == first[place]
         winner[place[won]] = np.repeat(name[active], block)[better][won]
         time = arrival[:, -1]
-        on = time < first.reshape(n_docs, REGISTERS).max(axis=1)[doc[active]]
+        on = time < first.reshape(n_docs, registers).max(axis=1)[doc[active]]
         active, time = active[on], time[on]
         drawn, block = drawn + block, min(block * 2, 64)
-    return winner.reshape(n_docs, REGISTERS)
+    return winner.reshape(n_docs, registers)
+
+
+def wide_signatures(bodies: DataFrame) -> DataFrame:
+    """`(node, wide)`: `WIDE` further registers of other hashes, eight bits each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher()
+        for batch in batches:
+            out = []
+            for text in texts(batch):
+                hashes, doc, weight = weighted(*shingles(hasher, [text])[:2])
+                out.append(signatures(_mix(hashes ^ np.uint64(0x5DEECE66D)), doc, weight, 1, WIDE)[0].astype(np.uint8).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(out, pa.binary())], ["node", "wide"])
+
+    return bodies.select("node", "text").mapInArrow(run, "node long, wide binary")
 
 
 def signed(docs: DataFrame) -> DataFrame:
@@ -204,15 +223,24 @@ def verified(pairs: DataFrame, bodies: DataFrame, threshold: float) -> DataFrame
     both = left.join(right, ["b", "salt"]).select("a", "b", "ta", "tb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher()
-        of = lambda t: weighted(*shingles(hasher, [t])[:2])[::2]
-        last, held = None, None
+        hasher, known, held = Hasher(), {}, 0
+
+        def of(node: int, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+            nonlocal held
+            if node not in known:
+                found = weighted(*shingles(hasher, [text])[:2])[::2]
+                held += len(found[0])
+                if held > KNOWN:
+                    known.clear()
+                    held = len(found[0])
+                known[node] = found
+            return known[node]
+
         for batch in batches:
             keep = []
-            for b, ta, tb in zip(batch.column("b").to_pylist(), texts(batch, "ta"), texts(batch, "tb"), strict=True):
-                if b != last:
-                    last, held = b, of(tb)
-                keep.append(similarity(of(ta), held) >= threshold)
+            ids = zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True)
+            for (a, b), ta, tb in zip(ids, texts(batch, "ta"), texts(batch, "tb"), strict=True):
+                keep.append(similarity(of(a, ta), of(b, tb)) >= threshold)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return both.mapInArrow(run, "a long, b long")
@@ -220,17 +248,21 @@ def verified(pairs: DataFrame, bodies: DataFrame, threshold: float) -> DataFrame
 
 def _bucket_pairs(threshold: float):
     """Cross-component pairs of a bucket's block pair, by signature, in their first band."""
-    least = REGISTERS * threshold - 5 * (REGISTERS * threshold * (1 - threshold)) ** 0.5
+    bound = lambda n, deviations: n * threshold - deviations * (n * threshold * (1 - threshold)) ** 0.5
+    least, least_of_all = bound(REGISTERS, 5), bound(REGISTERS + WIDE, 4)
 
-    def pairs(band: int, node: np.ndarray, comp: np.ndarray, sig: np.ndarray, side: np.ndarray, cross: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def pairs(band: int, node: np.ndarray, comp: np.ndarray, sig: np.ndarray, wide: np.ndarray, side: np.ndarray, cross: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for i in range(len(node) - 1):
             j = np.arange(i + 1, len(node))
             j = j[(comp[j] != comp[i]) & ((side[j] != side[i]) if cross else True)]
             for some in np.array_split(j, max(1, len(j) // 4096)):
                 same = sig[some] == sig[i]
-                ok = same.sum(axis=1) >= least
+                agree = same.sum(axis=1)
+                ok = agree >= least
                 if band:
                     ok &= ~same.reshape(-1, BANDS, ROWS).all(axis=2)[:, :band].any(axis=1)
+                some, agree = some[ok], agree[ok]
+                ok = agree + (wide[some] == wide[i]).sum(axis=1) >= least_of_all
                 if ok.any():
                     yield np.full(int(ok.sum()), node[i]), node[some[ok]]
 
@@ -243,8 +275,9 @@ def _bucket_pairs(threshold: float):
             edges = np.concatenate([[0], np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1, [table.num_rows]])
             node, comp, side = (table.column(c).to_numpy() for c in ("node", "comp", "side"))
             sig = _regs(table.column("sig").combine_chunks())
+            wide = np.frombuffer(b"".join(x.as_py() for x in table.column("wide")), np.uint8).reshape(-1, WIDE)
             for s, e in zip(edges[:-1], edges[1:], strict=True):
-                for a, b in pairs(int(keys[0, s]), node[s:e], comp[s:e], sig[s:e], side[s:e], keys[2, s] != keys[3, s]):
+                for a, b in pairs(int(keys[0, s]), node[s:e], comp[s:e], sig[s:e], wide[s:e], side[s:e], keys[2, s] != keys[3, s]):
                     yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["a", "b"])
 
         for batch in batches:
@@ -264,22 +297,6 @@ def _bucket_pairs(threshold: float):
     return run
 
 
-def _components(links: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
-    """`(node, comp)` of all the given nodes."""
-    found = connected_components(links, "a", "b", name)
-    return nodes.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("comp"))
-
-
-def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
-    """Pairs whose ends are in different components; hot ends are joined in pieces."""
-    out = pairs
-    for end in ("a", "b"):
-        uses = pairs.groupBy(F.col(end).alias("node")).agg(F.count(F.lit(1)).alias("uses")).join(comps, "node")
-        uses = uses.select(F.col("node").alias(end), "uses", F.col("comp").alias(f"c{end}"))
-        out = attach_group_facts(out, uses, [end], "uses", "b" if end == "a" else "a").drop("uses")
-    return out.where("ca <> cb").select(*pairs.columns)
-
-
 def classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id") -> DataFrame:
     """Every row's id, class and whether it is the one that stays: `node, class_id, kept`.
 
@@ -297,40 +314,41 @@ def classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id") ->
         attach_group_facts(sigs.select("node", "w1", "w2"), copies, ["w1", "w2"], "n", "node").select("node", "rep").distinct(), "near-members"
     )
     discard(sigs, copies)
-    buckets = band_rows(nodes).groupBy("band", "bucket").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    buckets = stage(buckets, "near-buckets")
-    shared = stage(attach_group_facts(band_rows(nodes), buckets, ["band", "bucket"], "n", "node").where("leader IS NOT NULL"), "near-shared")
-    discard(buckets)
-    ledger = stage(
-        shared.where("leader < node").groupBy(F.col("node").alias("a"), F.col("leader").alias("b")).agg(F.count(F.lit(1)).alias("bands")),
-        "near-pairs",
-    )
-    needed = stage(shared.select("node").distinct(), "near-needed")
-    # The text of a node: any of the rows with its id that has its words; ids are unique in a clean corpus.
+    counts = stage(band_rows(nodes).groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("least")).where("n > 1"), "near-buckets")
+    met = stage(attach_group_facts(band_rows(nodes), counts, ["band", "bucket"], "n", "node").where("n IS NOT NULL").drop("least"), "near-met")
+    # The text that copies were made from shares most buckets with most nodes.
+    drawn = met.groupBy("node").agg(F.sum("n").alias("drawn"))
+    ranked = met.join(drawn, "node")
+    leaders = ranked.groupBy("band", "bucket").agg(F.max(F.struct("drawn", (-F.col("node")).alias("minus"))).alias("top"), F.max("n").alias("n"))
+    leaders = stage(leaders.select("band", "bucket", "n", (-F.col("top.minus")).alias("leader")), "near-leaders")
+    shared = stage(attach_group_facts(met.drop("n"), leaders, ["band", "bucket"], "n", "node"), "near-shared")
+    discard(counts, met, leaders)
+    ledger = shared.where("leader <> node").groupBy(F.col("node").alias("a"), F.col("leader").alias("b")).agg(F.count(F.lit(1)).alias("bands"))
+    needed = shared.select("node").distinct()
+    # The text of a node: any of the rows with its id; ids are unique in a clean corpus.
     bodies = stage(rows.join(needed, "node").dropDuplicates(["node"]), "near-bodies")
 
     best = F.max_by(F.col("b"), F.struct(F.col("bands"), -F.col("b")))
     first = stage(ledger.groupBy("a").agg(best.alias("b")), "near-first")
     links = stage(verified(first, bodies, threshold), "near-links")
-    # Rows that share an id but not their words are one node.
-    comps = stage(_components(links, needed, "near-components"), "near-comps")
-    rest = stage(_apart(ledger.select("a", "b").join(first, ["a", "b"], "left_anti"), comps), "near-rest")
-    links = stage(links.union(verified(rest, bodies, threshold)), "near-links")
-    comps = stage(_components(links, needed, "near-components"), "near-comps")
-
-    placed = shared.select("band", "bucket", "leader", "n", "node").join(comps, "node")
+    found = connected_components(links, "a", "b", "near-components")
+    placed = shared.select("band", "bucket", "n", "node").join(found, "node", "left").withColumn("comp", F.coalesce("component", "node"))
+    placed = stage(placed.drop("component"), "near-placed")
     several = placed.groupBy("band", "bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.max("n").alias("n"))
-    several = stage(several.where("low < high").where("n > 2").select("band", "bucket", "n"), "near-several")
-    looked = attach_group_facts(placed.drop("leader", "n"), several, ["band", "bucket"], "n", "node").where("n IS NOT NULL")
+    several = stage(several.where("low < high").select("band", "bucket", "n"), "near-several")
+    looked = attach_group_facts(placed.drop("n"), several, ["band", "bucket"], "n", "node").where("n IS NOT NULL")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     dealt = looked.withColumns({"blocks": blocks, "side": F.pmod(F.xxhash64("node"), blocks).cast("int")})
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.join(nodes, "node").select("band", "bucket", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "side", "node", "comp", "sig")
+    broad = wide_signatures(bodies.join(looked.select("node").distinct(), "node", "left_semi"))
+    sigs = stage(nodes.join(broad, "node"), "near-wide")
+    dealt = dealt.join(sigs, "node").select("band", "bucket", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "side", "node", "comp", "sig", "wide")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = dealt.repartition(parts, "band", "bucket", "lo", "hi").sortWithinPartitions("band", "bucket", "lo", "hi")
     more = ordered.mapInArrow(_bucket_pairs(threshold), "a long, b long").distinct()
-    more = stage(more.join(ledger, ["a", "b"], "left_anti"), "near-more")
-    links = stage(links.union(verified(more, bodies, threshold)), "near-links")
+    tried = first.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    more = stage(more.join(tried, ["a", "b"], "left_anti"), "near-more")
+    links = links.union(verified(more, bodies, threshold))
     # Copies follow their representative; an id in two copy groups joins them.
     ties = member.where("node <> rep").select(F.col("node").alias("a"), F.col("rep").alias("b"))
     final = connected_components(links.union(ties), "a", "b", "near-classes")
