@@ -3,8 +3,8 @@
 Vectors are normalized in double precision. Every vector has a sketch: `SKETCH` random
 projections, quantized. Two vectors collide in a projection if each lies in a window
 centred at the other; the window is twice the distance of the threshold, so a pair at the
-threshold collides with probability 0.954, and `NEED` of `SKETCH` collisions keep 99.9 % of
-such pairs, nearly all closer ones, and one in ten thousand unrelated ones.
+threshold collides with probability 0.954, and `NEED` of `SKETCH` collisions keep 99.99 % of
+such pairs, nearly all closer ones, and about one in a thousand unrelated ones.
 
 Windows over all vectors would meet a fixed share of all pairs, so pairs are first sought in
 cells: each of many tables sorts vectors into the cells of a randomly shifted grid over a few
@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from dockwise.llm.common import attach_group_facts, connected_components, stage
 
-SKETCH, NEED, SCALE = 32, 26, 32
+SKETCH, NEED, SCALE = 32, 24, 32
 WIDTH = 1.6  # of grid cells, in standard deviations of a unit vector's projection
 LEADER_TABLES, LEADER_GRID = 12, 8
 CELL = 4096

@@ -286,7 +286,7 @@ def test_embedding_links_match_brute_force(llm):
     comp = components = H.components({i for i, _ in rows if i is not None}, links)
     count = Counter(x for pair in links for x in pair)
     table = llm.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<double>, vec int")
-    got = embed_dedup.near_duplicates(table).collect()
+    got = embed_dedup.near_duplicates(table, recall=0.99999).collect()
     assert Counter(g["vec_id"] for g in got) == Counter(i for i, _ in rows)
     wrong = [g for g in got if g["vec_id"] is not None and (g["n_links"], g["component_id"]) != (count[g["vec_id"]], comp[g["vec_id"]])]
     assert not wrong and components
