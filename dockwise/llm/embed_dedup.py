@@ -8,8 +8,7 @@ such pairs, nearly all closer ones, and about one in a thousand unrelated ones.
 
 Windows over all vectors would meet a fixed share of all pairs, so pairs are first sought in
 cells: each of many tables sorts vectors into the cells of a randomly shifted grid over a few
-further projections, then along the first projection of the sketch, and counts collisions
-for pairs in the window. The number of tables follows from the chance of sharing a cell at
+further projections and counts collisions for all pairs of a cell. The number of tables follows from the chance of sharing a cell at
 the threshold, for `recall`; the number of grid projections grows with the logarithm of the
 number of vectors, so that cells stay small. Cells over `CELL` entries are cut into pairs of
 blocks that separate tasks compare. Pairs passing the count are verified by exact cosine.
@@ -198,23 +197,24 @@ def _collisions(threshold_angle: float):
         return np.ceil(2 * distance * SCALE).astype(np.int16) + 1
 
     def group(ball: np.ndarray, sketch: np.ndarray, r: np.ndarray, side: np.ndarray, cross: bool) -> np.ndarray:
-        order = np.argsort(sketch[:, 0], kind="stable")
-        ball, sketch, r, side = ball[order], sketch[order].astype(np.int16), r[order], side[order]
-        reach = windows(r + r.max())
-        until = np.searchsorted(sketch[:, 0], sketch[:, 0] + reach, "right")
+        # All pairs are counted, so that no single projection can rule one out.
+        order = np.argsort(side, kind="stable")
+        ball, sketch, r, side = ball[order], sketch[order].T.astype(np.int16, order="C"), r[order], side[order]
+        if cross:  # the entries of one side with those of the other
+            start = np.where(side == side[0], np.count_nonzero(side == side[0]), len(ball))
+        else:
+            start = np.arange(1, len(ball) + 1)
+        count = len(ball) - start
         found = []
-        edges = np.searchsorted(np.cumsum(until - np.arange(len(ball))), np.arange(0, (until - np.arange(len(ball))).sum() + 1, 500_000))
+        edges = np.unique(np.searchsorted(np.cumsum(count), np.arange(0, count.sum() + 1, 500_000)))
         for a, b in zip(edges, np.append(edges[1:], len(ball)), strict=True):
-            n = until[a:b] - np.arange(a, b) - 1
+            n = count[a:b]
             i = np.repeat(np.arange(a, b), n)
-            j = np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n) + i + 1
-            if cross:
-                apart = side[i] != side[j]
-                i, j = i[apart], j[apart]
+            j = np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n) + start[i]
             limit, misses = windows(r[i] + r[j]), np.zeros(len(i), np.int8)
             for step in range(0, SKETCH, 4):
                 for m in range(step, step + 4):
-                    misses += np.abs(sketch[i, m] - sketch[j, m]) > limit
+                    misses += np.abs(sketch[m, i] - sketch[m, j]) > limit
                 on = misses <= allowed
                 i, j, limit, misses = i[on], j[on], limit[on], misses[on]
             x, y = ball[i], ball[j]

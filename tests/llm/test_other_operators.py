@@ -306,6 +306,38 @@ def test_large_cells_are_cut_into_blocks(llm, monkeypatch):
     assert sum(want.values()) > 0 and got == {i: want[i] for i in range(60)}
 
 
+def test_no_single_projection_rules_a_pair_out():
+    import pyarrow as pa
+
+    sketch = np.zeros((3, embed_dedup.SKETCH), np.int8)
+    sketch[1, 0] = 100  # far apart in the first projection only
+    sketch[2] = 100
+    for lo, hi, side in ((0, 0, [0, 0, 0]), (0, 1, [0, 1, 1]), (0, 1, [1, 0, 1])):
+        batch = pa.RecordBatch.from_pydict({
+            "t": pa.array([0] * 3, pa.int32()), "cell": [5] * 3, "lo": pa.array([lo] * 3, pa.int32()), "hi": pa.array([hi] * 3, pa.int32()),
+            "side": pa.array(side, pa.int32()), "ball": [10, 11, 12], "sketch": [x.tobytes() for x in sketch], "r": [0.0] * 3,
+        })
+        got = [(r["a"], r["b"]) for out in embed_dedup._collisions(math.acos(0.9))([batch]) for r in out.to_pylist()]
+        assert got == [(10, 11)]
+
+
+def test_recall_of_the_registered_settings_near_the_threshold(llm):
+    rng = np.random.default_rng(12)
+    rows, links = [], 3000
+    for k in range(links):  # one pair each; unrelated vectors are far from the threshold
+        v, o = rng.normal(size=(2, 64))
+        v /= np.linalg.norm(v)
+        o -= (o @ v) * v
+        cos = rng.uniform(0.9001, 0.93)
+        rows += [(2 * k, v.tolist()), (2 * k + 1, (cos * v + math.sqrt(1 - cos * cos) * o / np.linalg.norm(o)).tolist())]
+    x = np.array([v for _, v in rows])
+    assert (np.triu(x @ x.T, 1) >= 0.9).sum() == links
+    got = embed_dedup.near_duplicates(llm.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    found = [g for g in got if g["n_links"]]
+    assert all(g["n_links"] == 1 and g["component_id"] == g["vec_id"] // 2 * 2 for g in found)
+    assert len(found) >= 0.999 * 2 * links
+
+
 # ---------------------------------------------------------------- shared parts, pipeline
 
 
