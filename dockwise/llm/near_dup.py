@@ -8,8 +8,12 @@ probability Jaccard similarity of the weighted shingles. A shingle stops once it
 arrival comes after every register's first; arrivals are drawn in growing blocks, for all
 documents of a piece at once.
 
+Repeated shingles can part the weighted similarity from that of the sets, so a text with
+some has a second signature with all weights one; other texts have one that serves as both.
+
 `BANDS` bands of `ROWS` registers bring pairs together: a pair at similarity 0.8 shares a
-band with probability 1 - (1 - 0.8**5)**24 = 0.9999. Then:
+band with probability 1 - (1 - 0.8**5)**24 = 0.9999, whichever of the two similarities it
+is: a text stands in the buckets of both its signatures. Then:
 
 1. Exact copies (equal word sequences) are one node, named by their smallest id.
 2. Every node of a band's bucket is paired with the bucket's leader, the node that shares
@@ -19,7 +23,7 @@ band with probability 1 - (1 - 0.8**5)**24 = 0.9999. Then:
 3. Buckets that hold several components have the pairs between them compared as well: by
    signature (registers agreeing within five standard deviations of the threshold), in the
    first band that a pair shares, by `WIDE` further registers of eight bits (all registers
-   within four deviations), and then exactly. Large buckets are cut into pairs of
+   within four deviations), with either kind of signature, and then exactly. Large buckets are cut into pairs of
    blocks for separate tasks. Nothing is capped: pairs inside a component need no look.
 
 Verification is exact: the probability Jaccard similarity of the counts or the Jaccard
@@ -124,35 +128,49 @@ def signatures(hashes: np.ndarray, doc: np.ndarray, weight: np.ndarray, n_docs:
     return winner.reshape(n_docs, registers)
 
 
+def both_signatures(hashes: np.ndarray, doc: np.ndarray, weight: np.ndarray, n_docs: int, registers: int = REGISTERS) -> tuple[np.ndarray, dict[int, np.ndarray]]:
+    """Signatures by count of all documents, and by set of those with repeated shingles."""
+    again = np.unique(doc[weight > 1])
+    of = np.isin(doc, again)
+    flat = signatures(hashes[of], np.searchsorted(again, doc[of]), np.ones(int(of.sum()), np.int64), len(again), registers) if len(again) else []
+    return signatures(hashes, doc, weight, n_docs, registers), dict(zip(again.tolist(), flat, strict=True))
+
+
 def wide_signatures(bodies: DataFrame) -> DataFrame:
-    """`(node, wide)`: `WIDE` further registers of other hashes, eight bits each."""
+    """`(node, wide, flat_wide)`: `WIDE` further registers of other hashes, eight bits each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for batch in batches:
-            out = []
+            out, flat = [], []
             for text in texts(batch):
                 hashes, doc, weight = weighted(*shingles(hasher, [text])[:2])
-                out.append(signatures(_mix(hashes ^ np.uint64(0x5DEECE66D)), doc, weight, 1, WIDE)[0].astype(np.uint8).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(out, pa.binary())], ["node", "wide"])
+                sig, sets = both_signatures(_mix(hashes ^ np.uint64(0x5DEECE66D)), doc, weight, 1, WIDE)
+                out.append(sig[0].astype(np.uint8).tobytes())
+                flat.append(sets[0].astype(np.uint8).tobytes() if sets else b"")
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(out, pa.binary()), pa.array(flat, pa.binary())], ["node", "wide", "flat_wide"])
 
-    return bodies.select("node", "text").mapInArrow(run, "node long, wide binary")
+    return bodies.select("node", "text").mapInArrow(run, "node long, wide binary, flat_wide binary")
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """`(node, w1, w2, sig)`: id, hash of the word sequence and signature of texts with words."""
+    """`(node, w1, w2, sig, flat)`: id, hash of the word sequence and signatures of texts with
+    words; `flat`, by set, is empty where it equals `sig`, by count."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
 
         def piece(ids: list[int], bodies: list[bytes]) -> pa.RecordBatch:
             hashes, doc, plain = shingles(hasher, bodies)
-            sig = signatures(*weighted(hashes, doc), len(bodies))
+            sig, flat = both_signatures(*weighted(hashes, doc), len(bodies))
             has = [i for i, p in enumerate(plain) if p]
             w = np.frombuffer(b"".join(xxhash.xxh3_128_digest(plain[i]) for i in has), np.int64).reshape(-1, 2)
             return pa.RecordBatch.from_arrays(
-                [pa.array([ids[i] for i in has], pa.int64()), pa.array(w[:, 0].copy()), pa.array(w[:, 1].copy()), pa.array([sig[i].tobytes() for i in has], pa.binary())],
-                ["node", "w1", "w2", "sig"],
+                [
+                    pa.array([ids[i] for i in has], pa.int64()), pa.array(w[:, 0].copy()), pa.array(w[:, 1].copy()), pa.array([sig[i].tobytes() for i in has], pa.binary()),
+                    pa.array([flat[i].tobytes() if i in flat else b"" for i in has], pa.binary()),
+                ],
+                ["node", "w1", "w2", "sig", "flat"],
             )
 
         for batch in batches:
@@ -167,29 +185,37 @@ def signed(docs: DataFrame) -> DataFrame:
             if ids:
                 yield piece(ids, bodies)
 
-    return docs.where("node IS NOT NULL").select("node", "text").mapInArrow(run, "node long, w1 long, w2 long, sig binary")
+    return docs.where("node IS NOT NULL").select("node", "text").mapInArrow(run, "node long, w1 long, w2 long, sig binary, flat binary")
 
 
-def _regs(column: pa.Array) -> np.ndarray:
+def _regs(column: pa.Array, dtype: type = np.uint32, registers: int = REGISTERS, otherwise: pa.Array | None = None) -> np.ndarray:
+    """Registers of every row; those of `otherwise` where a row has none."""
     rows = [x.as_py() for x in column]
-    return np.frombuffer(b"".join(rows), np.uint32).reshape(-1, REGISTERS)
+    if otherwise is not None:
+        rows = [x or y.as_py() for x, y in zip(rows, otherwise, strict=True)]
+    return np.frombuffer(b"".join(rows), dtype).reshape(-1, registers)
 
 
 def band_rows(nodes: DataFrame) -> DataFrame:
-    """`(band, bucket, node)`: a row per node and band."""
+    """`(band, bucket, node)`: a row per node and band, two where its signatures differ there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         power = np.array([0x9E3779B97F4A7C15 * (2 * r + 1) & (1 << 64) - 1 for r in range(ROWS)], np.uint64)
         for batch in batches:
             if not batch.num_rows:
                 continue
-            sig = _regs(batch.column("sig")).reshape(-1, BANDS, ROWS).astype(np.uint64)
-            bucket = _mix((_mix(sig + np.uint64(1)) * power).sum(axis=2)).view(np.int64).reshape(-1)
+
+            def bucket(sig: np.ndarray) -> np.ndarray:
+                return _mix((_mix(sig.reshape(-1, BANDS, ROWS).astype(np.uint64) + np.uint64(1)) * power).sum(axis=2)).view(np.int64).reshape(-1)
+
             band = np.tile(np.arange(BANDS, dtype=np.int32), batch.num_rows)
             node = np.repeat(batch.column("node").to_numpy(), BANDS)
-            yield pa.RecordBatch.from_arrays([pa.array(band), pa.array(bucket), pa.array(node)], ["band", "bucket", "node"])
+            one = bucket(_regs(batch.column("sig")))
+            two = bucket(_regs(batch.column("flat"), otherwise=batch.column("sig")))
+            new = one != two
+            yield pa.RecordBatch.from_arrays([pa.array(np.append(x, y[new])) for x, y in ((band, band), (one, two), (node, node))], ["band", "bucket", "node"])
 
-    return nodes.select("node", "sig").mapInArrow(run, "band int, bucket long, node long")
+    return nodes.select("node", "sig", "flat").mapInArrow(run, "band int, bucket long, node long")
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -251,18 +277,20 @@ def _bucket_pairs(threshold: float):
     bound = lambda n, deviations: n * threshold - deviations * (n * threshold * (1 - threshold)) ** 0.5
     least, least_of_all = bound(REGISTERS, 5), bound(REGISTERS + WIDE, 4)
 
-    def pairs(band: int, node: np.ndarray, comp: np.ndarray, sig: np.ndarray, wide: np.ndarray, side: np.ndarray, cross: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def pairs(band: int, node: np.ndarray, comp: np.ndarray, kinds: list[tuple[np.ndarray, np.ndarray]], side: np.ndarray, cross: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for i in range(len(node) - 1):
             j = np.arange(i + 1, len(node))
             j = j[(comp[j] != comp[i]) & ((side[j] != side[i]) if cross else True)]
             for some in np.array_split(j, max(1, len(j) // 4096)):
-                same = sig[some] == sig[i]
-                agree = same.sum(axis=1)
-                ok = agree >= least
-                if band:
-                    ok &= ~same.reshape(-1, BANDS, ROWS).all(axis=2)[:, :band].any(axis=1)
-                some, agree = some[ok], agree[ok]
-                ok = agree + (wide[some] == wide[i]).sum(axis=1) >= least_of_all
+                ok, met = np.zeros(len(some), bool), np.zeros(len(some), bool)
+                for sig, wide in kinds:  # one kind of signature is enough
+                    same = sig[some] == sig[i]
+                    agree = same.sum(axis=1)
+                    near = np.flatnonzero(agree >= least)
+                    ok[near] |= agree[near] + (wide[some[near]] == wide[i]).sum(axis=1) >= least_of_all
+                    if band:
+                        met |= same.reshape(-1, BANDS, ROWS).all(axis=2)[:, :band].any(axis=1)
+                ok &= ~met
                 if ok.any():
                     yield np.full(int(ok.sum()), node[i]), node[some[ok]]
 
@@ -274,10 +302,11 @@ def _bucket_pairs(threshold: float):
             keys = np.stack([table.column(c).to_numpy() for c in names])
             edges = np.concatenate([[0], np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1, [table.num_rows]])
             node, comp, side = (table.column(c).to_numpy() for c in ("node", "comp", "side"))
-            sig = _regs(table.column("sig").combine_chunks())
-            wide = np.frombuffer(b"".join(x.as_py() for x in table.column("wide")), np.uint8).reshape(-1, WIDE)
+            kinds = [(_regs(table.column("sig")), _regs(table.column("wide"), np.uint8, WIDE))]
+            if any(len(x.as_py()) for x in table.column("flat")):
+                kinds.append((_regs(table.column("flat"), otherwise=table.column("sig")), _regs(table.column("flat_wide"), np.uint8, WIDE, table.column("wide"))))
             for s, e in zip(edges[:-1], edges[1:], strict=True):
-                for a, b in pairs(int(keys[0, s]), node[s:e], comp[s:e], sig[s:e], wide[s:e], side[s:e], keys[2, s] != keys[3, s]):
+                for a, b in pairs(int(keys[0, s]), node[s:e], comp[s:e], [(x[s:e], y[s:e]) for x, y in kinds], side[s:e], keys[2, s] != keys[3, s]):
                     yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["a", "b"])
 
         for batch in batches:
@@ -309,7 +338,7 @@ def classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id") ->
         sigs.groupBy("w1", "w2").agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("n")), "near-copies"
     )
     reps = copies.select("w1", "w2", F.col("rep").alias("node"))
-    nodes = stage(sigs.join(reps, ["w1", "w2", "node"], "left_semi").dropDuplicates(["w1", "w2", "node"]).select("node", "sig"), "near-nodes")
+    nodes = stage(sigs.join(reps, ["w1", "w2", "node"], "left_semi").dropDuplicates(["w1", "w2", "node"]).select("node", "sig", "flat"), "near-nodes")
     member = stage(
         attach_group_facts(sigs.select("node", "w1", "w2"), copies, ["w1", "w2"], "n", "node").select("node", "rep").distinct(), "near-members"
     )
@@ -342,7 +371,7 @@ def classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id") ->
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     broad = wide_signatures(bodies.join(looked.select("node").distinct(), "node", "left_semi"))
     sigs = stage(nodes.join(broad, "node"), "near-wide")
-    dealt = dealt.join(sigs, "node").select("band", "bucket", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "side", "node", "comp", "sig", "wide")
+    dealt = dealt.join(sigs, "node").select("band", "bucket", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "side", "node", "comp", "sig", "wide", "flat", "flat_wide")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = dealt.repartition(parts, "band", "bucket", "lo", "hi").sortWithinPartitions("band", "bucket", "lo", "hi")
     more = ordered.mapInArrow(_bucket_pairs(threshold), "a long, b long").distinct()

@@ -101,6 +101,25 @@ def test_bucket_without_its_leader_in_reach(llm):
     assert got == H.near_classes(texts)
 
 
+def test_texts_that_repeat_a_passage_are_near_duplicates(llm):
+    # Equal sets of shingles, counts far apart: only the sets' similarity links them. A plain
+    # third text, alike neither by count, is found beside a bucket's leader as well.
+    rng = random.Random(17)
+    texts, n = [], 0
+    for times in (5, 10, 30):
+        for _ in range(12):
+            plain, passage = H.prose(rng, 150), H.prose(rng, 50)
+            edited = plain.split()
+            edited[75] = "edited"
+            for t in (f"{plain} {passage}", f"{plain} " + " ".join([passage] * times), f"{' '.join(edited)} " + " ".join([passage] * (times // 2))):
+                texts.append((n, t))
+                n += 1
+    docs = llm.createDataFrame(texts, "doc_id long, text string")
+    got = {r["node"]: r["class_id"] for r in near_dup.classes(docs).collect()}
+    want = H.near_classes(texts)
+    assert len(set(want.values())) == n // 3 and got == want
+
+
 def test_signatures_estimate_probability_jaccard():
     rng = np.random.default_rng(2)
     a = {int(h): int(w) for h, w in zip(rng.integers(1, 1 << 62, 300), rng.integers(1, 5, 300))}
