@@ -162,6 +162,23 @@ def test_toxicity_without_labels(llm, docs, rows):
     assert kept.columns == docs.columns and kept.count() == len(rows)
 
 
+def test_texts_over_the_sample_bound_do_not_end_it(llm):
+    rng = random.Random(10)
+    data = [(i, H.prose(rng, 30) + (" vile rotten" if i % 4 == 0 else "")) for i in range(600)]
+    hashes = {r["id"]: r["h"] for r in llm.sql("SELECT id, xxhash64(id) AS h FROM range(600)").collect()}
+    firsts = sorted((i for i in hashes if zlib.crc32(str(i).encode()) % 4 != 2), key=hashes.get)
+    for n, i in enumerate(firsts[:3]):  # first of all: too long alone, then too long together
+        data[i] = (i, data[i][1] + " filler" * (60_000 if n == 0 else 30_000))
+    docs = llm.createDataFrame(data, "doc_id long, text string")
+    labels = llm.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(600)], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(docs, labels, sample_bytes=300_000)
+    assert model.trained
+    got = model.scores(toxicity.Hasher(), [b"a vile rotten thing", b"abc def ghi"])
+    assert got[0] >= 0.3 > got[1]
+    with pytest.raises(ValueError):
+        toxicity.fit(docs, labels, sample_bytes=500)
+
+
 def test_long_texts_are_scored_whole():
     model = toxicity.Model(0.1)
     rng = np.random.default_rng(1)
