@@ -15,9 +15,13 @@ mutual information relative to the entity's information content,
     PMI(e, t) / IC(e) = 1 + log2(n(e, t) / n(t)) / log2(N / n(e)),
 
 counted over documents: n(e, t) holding the term near the entity, n(t) holding the term
-anywhere, n(e) holding the entity, N all. It is 1 for a term found nowhere else. Pairs seen
+anywhere, n(e) holding the entity, N all. The `CONTEXT` words on each side are counted in
+the whole text, whatever other matches lie between; a word that the span's edge cuts counts
+with its part outside. The text is read in growing stretches, mostly the first of `REACHES`,
+until a stretch holds enough words or ends with the text. It is 1 for a term found nowhere else. Pairs seen
 in fewer than `min_texts` different texts give no estimate, so copies alone prove nothing. Terms of at least `generalise` are
-generalised, of at least `remove` removed, near that entity. Counts cover all documents and
+generalised, of at least `remove` removed, at all their places in documents that hold that
+entity. Counts cover all documents and
 are made with map-side aggregates.
 
 Defined cases: null texts are empty; fully repeated rows get equal results and are separate
@@ -52,39 +56,37 @@ NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 KINDS = tuple(PATTERNS)
 TERM = r"[\p{L}\p{N}]+"
 CONTEXT = 8
-REACH = 160  # code points looked at on each side for the context words
+REACHES = (160, 2560, 40960, 655360)  # code points looked at for the context words, then all
+PIECE = 4096  # code points
 
 
 def _matches(kind: str) -> Column:
-    """Array of a kind's matches with the gaps before and after them."""
+    """Array of a kind's matches with the lengths of the gaps before them."""
     text = F.col("text")
     found = F.regexp_extract_all(text, F.lit(MATCHERS[kind]), F.lit(0))
     gaps = F.split(text, MATCHERS[kind], -1)
     n = F.size(found)
-    rows = F.arrays_zip(found.alias("value"), F.slice(gaps, F.lit(1), n).alias("before"), F.slice(gaps, F.lit(2), n).alias("after"))
+    rows = F.arrays_zip(found.alias("value"), F.slice(gaps, F.lit(1), n).alias("before"))
     parts = F.transform(
         rows,
         lambda r: F.struct(
             F.lit(kind).alias("kind"),
             r["value"].alias("value"),
             F.length(r["before"]).cast("long").alias("gap"),
-            F.right(r["before"], F.lit(REACH)).alias("before"),
-            F.left(r["after"], F.lit(REACH)).alias("after"),
-            (F.length(r["after"]) > REACH).alias("cut"),
         ),
     )
     may = F.contains(text, F.lit(NEEDS[kind])) if NEEDS[kind] else text.rlike("[0-9]{2}|[0-9][ -][0-9]")
     return F.when(may, parts).otherwise(F.array().cast(_MATCH))
 
 
-_MATCH = "array<struct<kind:string,value:string,gap:bigint,before:string,after:string,cut:boolean>>"
+_MATCH = "array<struct<kind:string,value:string,gap:bigint>>"
 
 
-def _valid() -> Column:
+def _valid(kind: Column, value: Column) -> Column:
     """Does a match hold up: address parts, number of digits, Luhn sum."""
-    digits = F.regexp_replace("value", "[^0-9]", "")
+    digits = F.regexp_replace(value, "[^0-9]", "")
     n = F.length(digits)
-    parts = F.forall(F.split("value", r"\."), lambda p: p.try_cast("double") <= 255)
+    parts = F.forall(F.split(value, r"\."), lambda p: p.try_cast("double") <= 255)
     # Every second digit from the right is doubled; the digits of the result are summed.
     reverse = F.split(F.reverse(digits), "")
     doubled = F.transform(
@@ -93,24 +95,31 @@ def _valid() -> Column:
     )
     luhn = F.aggregate(doubled, F.lit(0).cast("long"), lambda s, d: s + d) % 10 == 0
     return (
-        F.when(F.col("kind") == "email", F.lit(True))
-        .when(F.col("kind") == "ip", parts)
-        .when(F.col("kind") == "card", F.when(n.between(12, 19), luhn).otherwise(F.lit(False)))
+        F.when(kind == "email", F.lit(True))
+        .when(kind == "ip", parts)
+        .when(kind == "card", F.when(n.between(12, 19), luhn).otherwise(F.lit(False)))
         .otherwise(n.between(9, 15))
     )
 
 
 def base_spans(keyed: DataFrame) -> DataFrame:
-    """One row per base span: row key, kind, value, place, and the texts beside it."""
+    """One row per base span: row key, kind, value, place, entity."""
     exploded = keyed.select(*KEY, "_t1", "_t2", F.posexplode(F.concat(*[_matches(k) for k in KINDS])).alias("i", "m"))
-    # Repeated rows give the same matches; one of each is kept.
     # Repeated rows give the same matches; one of each is kept, with their number.
-    same = [*KEY, "_t1", "_t2", "i", "kind", "value", "gap", "before", "after", "cut"]
+    same = [*KEY, "_t1", "_t2", "i", "kind", "value", "gap"]
     rows = exploded.select(*KEY, "_t1", "_t2", "i", "m.*").groupBy(*same).agg(F.count(F.lit(1)).alias("copies"))
     w = Window.partitionBy(*KEY, "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.col("gap") + F.length("value")).over(w)
     placed = rows.withColumn("end", end).withColumn("start", F.col("end") - F.length("value"))
-    return stage(placed.where(_valid()).drop("i", "gap"), "pii-base")
+    value = F.when(F.col("kind") == "email", F.lower("value")).otherwise(F.regexp_replace("value", "[^0-9.]" , ""))
+    valid = placed.where(_valid(F.col("kind"), F.col("value"))).withColumn("entity", F.concat_ws(":", "kind", value))
+    return stage(valid.drop("i", "gap"), "pii-base")
+
+
+def holding(keyed: DataFrame) -> DataFrame:
+    """Row key and text, once each, of the documents that hold a base span."""
+    some = F.exists(F.concat(*[_matches(k) for k in KINDS]), lambda m: _valid(m["kind"], m["value"]))
+    return stage(keyed.where(some).groupBy(*KEY, "_t1", "_t2").agg(F.first("text").alias("text")), "pii-texts")
 
 
 def _words_at(chunk: Column, offset: Column) -> Column:
@@ -133,18 +142,45 @@ def _words_at(chunk: Column, offset: Column) -> Column:
     return done["out"]
 
 
-def contexts(base: DataFrame) -> DataFrame:
+def _stretch(start: Column, end: Column) -> Column:
+    """The code points from `start` to `end`, out of the text's `pieces`."""
+    first = F.floor(start / PIECE)
+    some = F.slice("pieces", (first + 1).cast("int"), (F.floor(F.greatest(end - 1, start) / PIECE) - first + 1).cast("int"))
+    return F.substring(F.array_join(some, ""), (start - first * PIECE + 1).cast("int"), (end - start).cast("int"))
+
+
+def _first_enough(size: Column, stretch) -> Column:
+    """The shortest reach whose stretch has a word more than needed, as its last may be cut."""
+    reach = F.when(size <= REACHES[0], size)
+    for r in REACHES:
+        words = F.size(F.regexp_extract_all(stretch(F.lit(r)), F.lit(TERM), F.lit(0)))
+        reach = reach.when((size > r) & (words > CONTEXT), F.lit(r).cast("long"))
+    return reach.otherwise(size)
+
+
+def contexts(base: DataFrame, held: DataFrame) -> DataFrame:
     """One row per entity occurrence and word beside it."""
-    value = F.when(F.col("kind") == "email", F.lower("value")).otherwise(F.regexp_replace("value", "[^0-9.]" , ""))
-    chunk_start = F.col("start") - F.length("before")
-    before = _words_at(F.col("before"), chunk_start)
-    # A word cut by the chunk's edge is left out.
-    before = F.filter(before, lambda x: (x["start"] > chunk_start) | (chunk_start == 0) | (F.length("before") < REACH))
+    places = base.groupBy(*KEY).agg(F.collect_list(F.struct("entity", "start", "end")).alias("spans"), F.max("copies").alias("copies"))
+    cut = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+    whole = held.join(places, list(KEY)).withColumns({"pieces": cut, "size": F.length("text").cast("long")})
+
+    def reached(s: Column) -> Column:
+        left = _first_enough(s["start"], lambda r: _stretch(s["start"] - r, s["start"]))
+        right = _first_enough(F.col("size") - s["end"], lambda r: _stretch(s["end"], s["end"] + r))
+        return F.struct(s["entity"].alias("entity"), s["start"].alias("start"), s["end"].alias("end"), (s["start"] - left).alias("lo"), (s["end"] + right).alias("hi"))
+
+    texts = lambda s: F.struct(
+        s["entity"].alias("entity"), s["start"].alias("start"), s["end"].alias("end"), s["lo"].alias("lo"), s["hi"].alias("hi"),
+        _stretch(s["lo"], s["start"]).alias("before"), _stretch(s["end"], s["hi"]).alias("after"),
+    )
+    base = whole.select(*KEY, "_t1", "_t2", "copies", "size", F.explode(F.transform(F.transform("spans", reached), texts)).alias("s"))
+    base = base.select(*KEY, "_t1", "_t2", "copies", "size", "s.*")
+    # A word cut by the stretch's far edge is left out.
+    before = F.filter(_words_at(F.col("before"), F.col("lo")), lambda x: (x["start"] > F.col("lo")) | (F.col("lo") == 0))
     before = F.slice(before, F.greatest(F.lit(1), F.size(before) - CONTEXT + 1), F.lit(CONTEXT))
-    chunk_end = F.col("end") + F.length("after")
-    after = F.filter(_words_at(F.col("after"), F.col("end")), lambda x: ~F.col("cut") | (x["end"] < chunk_end))
+    after = F.filter(_words_at(F.col("after"), F.col("end")), lambda x: (x["end"] < F.col("hi")) | (F.col("hi") == F.col("size")))
     near = F.concat(before, F.slice(after, F.lit(1), F.lit(CONTEXT)))
-    rows = base.select(*KEY, "_t1", "_t2", "copies", F.concat_ws(":", "kind", value).alias("entity"), F.explode(near).alias("x"))
+    rows = base.select(*KEY, "_t1", "_t2", "copies", "entity", F.explode(near).alias("x"))
     return rows.select(*KEY, "_t1", "_t2", "copies", "entity", F.lower("x.w").alias("term"), "x.start", "x.end")
 
 
@@ -167,17 +203,42 @@ def disclosures(keyed: DataFrame, seen: DataFrame, min_texts: int, generalise: f
     return judged.select("entity", "term", "uses", degree.alias("degree")).where(F.col("degree") >= generalise)
 
 
+def all_places(base: DataFrame, held: DataFrame, told: DataFrame) -> DataFrame:
+    """Places of disclosing terms in the documents that hold their entity: key, start, end, degree."""
+    terms = told.select("term").distinct()
+    words = held.select(*KEY, F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"))).alias("term")).join(terms, "term", "left_semi")
+    met = words.join(base.select(*KEY, "entity").distinct(), list(KEY))
+    degrees = attach_group_facts(met, told, ["entity", "term"], "uses", "_k1").where("degree IS NOT NULL").groupBy(*KEY, "term").agg(F.max("degree").alias("degree"))
+    sought = degrees.groupBy(*KEY).agg(F.map_from_entries(F.collect_list(F.struct("term", "degree"))).alias("sought"))
+    found = F.regexp_extract_all("text", F.lit(TERM), F.lit(0))
+    rows = F.arrays_zip(found.alias("w"), F.slice(F.split("text", TERM, -1), F.lit(1), F.size(found)).alias("g"))
+
+    def step(acc: Column, r: Column) -> Column:
+        start = acc["at"] + F.length(r["g"])
+        end = start + F.length(r["w"])
+        degree = F.element_at("sought", F.lower(r["w"]))
+        hit = F.array(F.struct(start.alias("start"), end.alias("end"), degree.alias("degree")))
+        return F.struct(end.alias("at"), F.when(degree.isNotNull(), F.concat(acc["out"], hit)).otherwise(acc["out"]).alias("out"))
+
+    none = F.array().cast("array<struct<start:bigint,end:bigint,degree:double>>")
+    done = F.aggregate(rows, F.struct(F.lit(0).cast("long").alias("at"), none.alias("out")), step)
+    return held.join(sought, list(KEY)).select(*KEY, F.inline(done["out"]))
+
+
 def find_spans(docs: DataFrame, min_texts: int = 3, generalise: float = 0.75, remove: float = 0.9, id_col: str = "doc_id") -> DataFrame:
     """`(_id, text, base, spans)`: sorted arrays of `(start, rank, end, kind, action)`."""
     rows = docs.select(F.col(id_col).alias("_id"), F.coalesce("text", F.lit("")).alias("text"))
     keyed = with_row_key(rows, "_id", "text").withColumns({"_t1": F.xxhash64("text"), "_t2": F.xxhash64(F.lit("second"), "text")})
     base = base_spans(keyed)
-    seen = stage(contexts(base), "pii-contexts")
+    held = holding(keyed)
+    seen = stage(contexts(base, held), "pii-contexts")
     told = stage(disclosures(keyed, seen, min_texts, generalise), "pii-disclosures")
     rank = F.create_map(*[x for i, k in enumerate(KINDS) for x in (F.lit(k), F.lit(i))])
     found = base.select(*KEY, F.struct("start", rank[F.col("kind")].alias("rank"), "end", "kind", F.lit("mask").alias("action")).alias("span"))
     action = F.when(F.col("degree") >= remove, "remove").otherwise("generalise")
-    terms = attach_group_facts(seen, told, ["entity", "term"], "uses", "_k1").where("degree IS NOT NULL").groupBy(*KEY, "start", "end").agg(F.max("degree").alias("degree"))
+    # Words that a base span's edge cuts are found beside it only.
+    beside = attach_group_facts(seen, told, ["entity", "term"], "uses", "_k1").where("degree IS NOT NULL").select(*KEY, "start", "end", "degree")
+    terms = beside.union(all_places(base, held, told)).groupBy(*KEY, "start", "end").agg(F.max("degree").alias("degree"))
     added = terms.select(*KEY, F.struct("start", F.lit(len(KINDS)).alias("rank"), "end", F.lit("term").alias("kind"), action.alias("action")).alias("span"))
     spans = found.union(added).distinct().groupBy(*KEY).agg(F.array_sort(F.collect_list("span")).alias("all"))
     joined = keyed.select("_id", *KEY, "text").join(spans, list(KEY), "left")

@@ -127,6 +127,34 @@ def test_terms_that_give_an_entity_away(llm):
     assert not re.search("Python|Arrow|Pandas", plan)
 
 
+def test_context_words_are_those_of_the_whole_text(llm):
+    long = "x" * 5000
+    parts = personal_texts()[:120]
+    parts += ["Zorvax room 12, 4111 1111 1111 1111 and 17", "mail a@b.cd, c@d.ef, g@h.ij to Zorvax", f"one two three {long} q@r.st {long} four", "é😀 " * 1500 + "\na@b.cd " + "日本" * 3000, "éa@b.cdé"]
+    docs = llm.createDataFrame([(i, t) for i, t in enumerate(parts)], "doc_id long, text string")
+    keyed = common.with_row_key(docs, "doc_id", "text").selectExpr("*", "xxhash64(text) AS _t1", "xxhash64('second', text) AS _t2")
+    got = Counter()
+    ids = {(r["_k1"], r["_k2"]): r["doc_id"] for r in keyed.collect()}
+    for r in pii.contexts(pii.base_spans(keyed), pii.holding(keyed)).collect():
+        got[(ids[r["_k1"], r["_k2"]], r["term"], r["start"], r["end"])] += 1
+    want = Counter()
+    for i, t in enumerate(parts):
+        for start, _, end, _ in base_spans(t):
+            words = [(m.start(), m.end()) for m in re.finditer(r"[^\W_]+", t[:start])][-8:]
+            words += [(m.start() + end, m.end() + end) for m in re.finditer(r"[^\W_]+", t[end:])][:8]
+            want.update((i, t[a:b].lower(), a, b) for a, b in words)
+    assert got == want
+
+
+def test_disclosing_terms_beyond_other_matches_and_at_all_places(llm):
+    rng = random.Random(16)
+    told = [f"{H.prose(rng, 20)} Zorvax room {i + 10}, 4111 1111 1111 1111 {H.prose(rng, 40)} zorvax {H.prose(rng, 9)}" for i in range(6)]
+    docs = llm.createDataFrame(list(enumerate(told + [H.prose(rng, 30) + " room" for _ in range(200)])), "doc_id long, text string")
+    spans = {r["doc_id"]: r["spans"].split(",") for r in pii.digest(docs).collect()}
+    for i, t in enumerate(told):
+        assert [s for s in spans[i] if s.startswith("term")] == [f"term:{m.start()}:{m.end()}" for m in re.finditer("(?i)zorvax", t)]
+
+
 # ---------------------------------------------------------------- toxicity
 
 
