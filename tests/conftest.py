@@ -8,8 +8,6 @@ sys.path.insert(0, ROOT)
 
 from dockwise.session import build_session  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -21,13 +19,3 @@ def spark(tmp_path_factory):
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
-
-
-def rows(df, *cols):
-    """Sorted list of tuples of `cols` (all columns if none given)."""
-    cols = cols or tuple(df.columns)
-    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)
-
-
-def as_dict(df, key, value="n"):
-    return {r[key]: r[value] for r in df.collect()}

@@ -13,7 +13,7 @@ import pytest
 from dockwise.operators import stations as ST
 from dockwise.operators import trips as TR
 from dockwise.schemas import TRIP
-from conftest import rows
+from support import rows
 
 SEEDS = (1, 2, 3)
 NAMES = ["A", "B", "C", "D", "E", "F"]

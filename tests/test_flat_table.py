@@ -14,7 +14,7 @@ from dockwise.sources.flat_table import (
     write_flat_trips,
 )
 from fixtures import SNAPSHOTS, TRIPS, station_dict, trips_df
-from conftest import as_dict, rows
+from support import as_dict, rows
 
 TRIP_KEYS = ["user_type", "user_day_code", "idunplug_station", "idplug_station", "travel_time", "unplug_hourTime"]
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from dockwise.operators import stations as ST
 from dockwise.operators import trips as TR
 from dockwise.plans import catalog
-from conftest import SF_SMALL
+from support import SF_SMALL
 
 TIMES = ("15:00:00", "16:00:00", "17:00:00")
 

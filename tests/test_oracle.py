@@ -9,7 +9,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 from check_oracle import compare, duck_connect  # noqa: E402
 from dockwise.plans import catalog  # noqa: E402
-from conftest import SF_SMALL  # noqa: E402
+from support import SF_SMALL  # noqa: E402
 
 
 @pytest.fixture(scope="module")

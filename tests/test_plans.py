@@ -3,7 +3,7 @@
 import pytest
 
 from dockwise.plans import catalog
-from conftest import SF_SMALL, rows
+from support import SF_SMALL, rows
 
 # lineitem columns no report derives anything from
 UNUSED = ("l_discount", "l_tax", "l_returnflag", "l_linestatus")

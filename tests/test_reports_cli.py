@@ -7,7 +7,7 @@ import pytest
 from dockwise.plans import catalog
 from dockwise.plans.reports import STATION_REPORTS, TRIP_REPORTS, main
 from dockwise.sources import derived
-from conftest import SF_SMALL, rows
+from support import SF_SMALL, rows
 
 
 @pytest.fixture(scope="module")

@@ -17,7 +17,7 @@ from dockwise.sources import (
     trip_fields,
 )
 from fixtures import TRIPS
-from conftest import rows
+from support import rows
 
 TRIP_KEYS = ["user_type", "user_day_code", "idunplug_station", "idplug_station", "travel_time", "unplug_hourTime"]
 

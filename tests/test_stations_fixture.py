@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from dockwise.operators import stations as ST
 from dockwise.sources import flatten_snapshots, read_snapshot_lines, read_snapshots
 from fixtures import SNAPSHOTS, nested_snapshots_df, station_dict
-from conftest import as_dict, rows
+from support import as_dict, rows
 
 
 def write_snapshot_lines(path, data=SNAPSHOTS):

@@ -4,7 +4,7 @@ import pytest
 
 from dockwise.operators import trips as TR
 from fixtures import TRIPS, trips_df
-from conftest import as_dict, rows
+from support import as_dict, rows
 
 TIMES = ("15:00:00", "16:00:00", "17:00:00")
 
