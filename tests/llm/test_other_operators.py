@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas
 import pytest
 
 import helpers as H
@@ -422,5 +423,5 @@ def test_sql_of_queries(spark):
         want = con.execute(sql).df()
         cols = sorted(want.columns)
         assert cols == sorted(got.columns), name
-        plain = lambda v: json.dumps([None if x is None or x != x else (x.item() if hasattr(x, "item") else x) for x in v])
+        plain = lambda v: json.dumps([None if x is None or pandas.isna(x) else (x.item() if hasattr(x, "item") else x) for x in v])
         assert Counter(plain(r) for r in got.toPandas()[cols].astype(object).values) == Counter(plain(r) for r in want[cols].astype(object).values), name
