@@ -123,27 +123,30 @@ def log_pages(
     its log sorted by `(f1, f2, ...)`, so a key with at most `page_size` entries has
     exactly one page, and the result does not depend on partitioning.
 
-    `f1` is an hour label (`yyyy-MM-dd...`). Rows are ranked within (key, day); the
-    entries of a key's earlier days come from a running sum over a small table with one
-    row per (key, day). So one shuffle, by (key, day), serves the join and the ranking; a
-    task holds whole days of a key, never more of it than one day at a time. The rows of
-    a day are gathered into arrays there, and only those move on to their pages.
+    `f1` is an hour label (`yyyy-MM-dd...`). The log is shuffled once, by (key, day), and ranked
+    there; the ranks' maxima are the counts per (key, day), so ranking and counting read the same
+    exchange and the log is computed once. Entries of a key's earlier days come from a running
+    sum over that small table. A task holds whole days of a key, never more of it than one day
+    at a time. The rows of a day are gathered into pages there, and only those move on.
     """
     fields = [c for c in long.columns if c != key]
-    # Non-null stand-ins, so that null keys and labels group and join like any other.
+    # Non-null stand-ins, so that null keys and labels group and join like any other. The key
+    # itself is made from them again: both uses of the exchange then need the same columns.
+    key_type = long.schema[key].dataType
     day = [
         F.coalesce(F.col(key).cast("string"), F.lit("")).alias("_k"),
         F.col(key).isNull().alias("_no_key"),
         F.coalesce(F.substring(F.col(fields[0]).cast("string"), 1, 10), F.lit("")).alias("_day"),
     ]
     group = ["_k", "_no_key", "_day"]
-    entries = long.select(*day, F.col(key).alias("_key"), F.struct(*fields).alias("_e"))
-    per_day = entries.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+    within = Window.partitionBy(*group).orderBy("_e")
+    ranked = long.select(*day, F.struct(*fields).alias("_e")).withColumn("_rank", F.row_number().over(within))
+    per_day = ranked.groupBy(*group).agg(F.max("_rank").cast("bigint").alias("_n"))
     earlier = Window.partitionBy("_k", "_no_key").orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_day.select(*group, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    within = Window.partitionBy(*group).orderBy("_e")
-    rank = F.col("_before") + F.row_number().over(within) - 1
-    paged = entries.join(offsets, group).withColumn("page", F.floor(rank / int(page_size)).cast("bigint"))
-    runs = paged.groupBy(*group, "_key", "page").agg(F.collect_list("_e").alias("_run"))
-    pages = runs.groupBy("_key", "page").agg(F.sort_array(F.flatten(F.collect_list("_run"))).alias(name))
-    return pages.select(F.col("_key").alias(key), "page", name)
+    place = F.col("_before") + F.col("_rank") - 1
+    paged = ranked.join(offsets, group).withColumn("page", F.floor(place / int(page_size)).cast("bigint"))
+    runs = paged.groupBy(*group, "page").agg(F.collect_list("_e").alias("_run"))
+    pages = runs.groupBy("_k", "_no_key", "page").agg(F.sort_array(F.flatten(F.collect_list("_run"))).alias(name))
+    named = F.when(~F.col("_no_key"), F.col("_k").cast(key_type))
+    return pages.select(named.alias(key), "page", name)

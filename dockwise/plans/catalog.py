@@ -22,12 +22,14 @@ from dockwise.operators import core
 from dockwise.operators import stations as ST
 from dockwise.operators import trips as TR
 from dockwise.plans.oracle import TRIP_COLS, on_snap, on_trips
-from dockwise.schemas import SNAPSHOT, SNAPSHOT_REPORT_COLUMNS, TRIP
-from dockwise.sources import derived
+from dockwise.schemas import SNAPSHOT_REPORT_COLUMNS, TRIP
+from dockwise.plans import stored
+from dockwise.sources import derived, staged_lines
 from dockwise.sources.json_lines import (
     drop_unused_trip_columns,
     flatten_snapshots,
     parse_json_lines,
+    read_snapshot_lines,
     trip_fields,
 )
 
@@ -89,13 +91,13 @@ RAW_TRIP = StructType(
 
 
 def _snapshot_lines(spark: SparkSession, d: str) -> DataFrame:
-    """Derived snapshots as JSON text, parsed back with the snapshot schema."""
-    return parse_json_lines(derived.snapshot_json_lines(derived.load_lineitem(spark, d)), SNAPSHOT)
+    """Lines of the staged snapshot file, parsed with the snapshot schema."""
+    return read_snapshot_lines(spark, staged_lines.snapshot_file(spark, d))
 
 
 def _trip_lines(spark: SparkSession, d: str) -> DataFrame:
-    """Derived trips as JSON text, parsed back with all their fields."""
-    return parse_json_lines(derived.trip_json_lines(derived.load_lineitem(spark, d)), RAW_TRIP)
+    """Lines of the staged trip file, parsed with all their fields."""
+    return parse_json_lines(spark.read.text(staged_lines.trip_file(spark, d)), RAW_TRIP)
 
 
 _register(
@@ -531,6 +533,8 @@ _tr(
     TR.round_trips_per_user,
 )
 
+stored.register(_register)
+
 
 def queries() -> dict[str, Builder]:
     return {name: q.build for name, q in REGISTRY.items()}

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 # Settings applied by `build_session`. AQE re-plans from measured sizes: it merges
 # small shuffle partitions, splits skewed ones in joins, and turns a sort-merge join
@@ -71,3 +73,40 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def staging_path(spark: SparkSession, name: str) -> str:
     """A location under the checkpoint folder for a written intermediate table."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A location for a table the library stages by itself: the checkpoint folder, or where that
+    is unset a folder below the warehouse, which executors share too."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    return f"{base.rstrip('/')}/{name}"
+
+
+_STAGED: dict[tuple[str, str, int], str] = {}
+
+
+def input_version(spark: SparkSession, path: str) -> int:
+    """A number that changes when files of an input are added, removed or rewritten.
+
+    Paths, sizes and times of the files are listed and hashed on the cluster; no content is read.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    # Sums in decimal, so that many hashes cannot overflow.
+    mark = F.sum(F.xxhash64("path", "modificationTime", "length").cast("decimal(20,0)"))
+    return int(files.agg(mark.alias("v")).first()["v"] or 0)
+
+
+def staged_once(spark: SparkSession, name: str, input_path: str, write: Callable[[str], None]) -> str:
+    """The folder of a table derived from `input_path`, written by `write(folder)` on first use.
+
+    One table per application, name and version of the input; later uses read it. Writers are
+    Spark jobs into the shared folder, so the table survives lost executors.
+    """
+    key = (spark.sparkContext.applicationId, f"{name}:{input_path}", input_version(spark, input_path))
+    if key not in _STAGED:
+        path = scratch_path(spark, f"{name}-{key[0]}-{abs(hash(key)):x}")
+        write(path)
+        _STAGED[key] = path
+    return _STAGED[key]

@@ -141,3 +141,50 @@ def trips_from_lineitem(lineitem: DataFrame, with_unused: bool = False) -> DataF
         ]
     out = lineitem.select(*cols)
     return out if with_unused else out.select(*TRIP_COLUMNS)
+
+
+def faulty_trip_lines(lineitem: DataFrame) -> DataFrame:
+    """Trip lines of which some are broken, as a feed cut off or written by hand would be.
+
+    By `l_orderkey`: multiples of 31 are cut in half, of 37 have text for the duration, of 41 are
+    blank, of 43 are lists (the first that applies).
+    """
+    trips = trips_from_lineitem(lineitem, with_unused=True)
+    key = F.col("user_day_code").cast("bigint")
+    rows = trips.select(key.alias("k"), "travel_time", F.to_json(F.struct(*trips.columns)).alias("line"))
+    seconds = F.concat(F.lit('"travel_time":'), F.col("travel_time").cast("string"), F.lit(","))
+    value = (
+        F.when(_mod("k", 31) == 0, F.expr("substring(line, 1, int(length(line) / 2))"))
+        .when(_mod("k", 37) == 0, F.replace("line", seconds, F.lit('"travel_time":"soon",')))
+        .when(_mod("k", 41) == 0, F.lit("  "))
+        .when(_mod("k", 43) == 0, F.concat(F.lit("["), "line", F.lit("]")))
+        .otherwise(F.col("line"))
+    )
+    return rows.select(value.alias("value"))
+
+
+def drifting_trip_lines(lineitem: DataFrame) -> DataFrame:
+    """Trip lines whose fields change over time, as a feed's do over the years.
+
+    By `l_orderkey`: multiples of 7 lack `zip_code`, of 11 have `ageRange` as text, of 13 have a
+    new object `plan` with `name` and `price`, of 17 a null duration.
+    """
+    trips = trips_from_lineitem(lineitem, with_unused=True)
+    key = F.col("user_day_code").cast("bigint")
+    plan = F.concat(F.lit(',"plan":{"name":"day","price":'), F.when(_mod(key, 2) == 0, F.lit("2")).otherwise(F.lit("2.5")), F.lit("}"))
+    parts = [
+        F.lit("{"),
+        F.concat(F.lit('"user_type":'), F.col("user_type").cast("string")),
+        F.concat(F.lit(',"user_day_code":"'), F.col("user_day_code"), F.lit('"')),
+        F.concat(F.lit(',"idunplug_station":'), F.col("idunplug_station").cast("string")),
+        F.concat(F.lit(',"idplug_station":'), F.col("idplug_station").cast("string")),
+        F.concat(F.lit(',"travel_time":'), F.when(_mod(key, 17) == 0, F.lit("null")).otherwise(F.col("travel_time").cast("string"))),
+        F.concat(F.lit(',"unplug_hourTime":"'), F.col("unplug_hourTime"), F.lit('"')),
+        F.when(_mod(key, 7) == 0, F.lit("")).otherwise(F.concat(F.lit(',"zip_code":"'), F.col("zip_code"), F.lit('"'))),
+        F.when(_mod(key, 11) == 0, F.concat(F.lit(',"ageRange":"'), F.col("ageRange").cast("string"), F.lit('"'))).otherwise(
+            F.concat(F.lit(',"ageRange":'), F.col("ageRange").cast("string"))
+        ),
+        F.when(_mod(key, 13) == 0, plan).otherwise(F.lit("")),
+        F.lit("}"),
+    ]
+    return trips.select(F.concat(*parts).alias("value"))
