@@ -54,7 +54,7 @@ def _stored(spark: SparkSession, d: str, name: str, make: Callable[[], DataFrame
 
 def _split(spark: SparkSession, d: str) -> quarantine.SplitLines:
     path = scratch_path(spark, f"quarantine-{uuid.uuid4().hex}")
-    return quarantine.split_lines(derived.faulty_trip_lines(_lineitem(spark, d)), TRIP, path)
+    return quarantine.split_lines(spark.read.text(staged_lines.faulty_trip_file(spark, d)), TRIP, path)
 
 
 def quarantine_counts(spark: SparkSession, d: str) -> DataFrame:

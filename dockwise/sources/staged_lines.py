@@ -38,3 +38,9 @@ def drifting_trip_file(spark: SparkSession, sf_dir: str) -> str:
     """The staged trip file with fields that change over time."""
     make = lambda path: write_lines(derived.drifting_trip_lines(derived.load_lineitem(spark, sf_dir)), path)
     return staged_once(spark, "drifting-trip-lines", _lineitem_path(sf_dir), make)
+
+
+def faulty_trip_file(spark: SparkSession, sf_dir: str) -> str:
+    """The staged trip file with broken and blank lines."""
+    make = lambda path: write_lines(derived.faulty_trip_lines(derived.load_lineitem(spark, sf_dir)), path)
+    return staged_once(spark, "faulty-trip-lines", _lineitem_path(sf_dir), make)
