@@ -103,16 +103,17 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> Iterator[bytes]:
         yield b.to_pybytes() if b is not None else b""
 
 
-def attach_group_facts(rows: DataFrame, facts: DataFrame, key: list[str], count: str, row_id: str) -> DataFrame:
+def attach_group_facts(rows: DataFrame, facts: DataFrame, key: list[str], count: str, row_id: str, total: int | None = None) -> DataFrame:
     """Left-join `facts` (one row per `key`, `count` = rows of the group) to `rows`.
 
     Groups holding over a thousandth of all rows number fewer than a thousand, whatever
     the input, so their facts are broadcast. Rows of those groups then enter the shuffled
     join under a key of their own (which matches nothing), so no task receives a hot group.
-    `row_id` names a column that spreads such rows.
+    `row_id` names a column that spreads such rows; `total` is the number of all rows, if known.
     """
     values = [c for c in facts.columns if c not in key]
-    total = facts.agg(F.sum(count)).first()[0] or 0
+    if total is None:
+        total = facts.agg(F.sum(count)).first()[0] or 0
     hot = facts.where(F.col(count) > max(total // 1000, 1))
     cold = facts.where(F.col(count) <= max(total // 1000, 1))
     marked = rows.join(
@@ -134,36 +135,35 @@ def connected_components(edges: DataFrame, src: str, dst: str, name: str) -> Dat
     smallest node.
 
     Each round takes, for every node, the smallest label among itself and its neighbours
-    (one aggregate with a map-side step, so a hub costs one row per task), then jumps to
-    that label's own label. Labels fall to the minimum in about log2(diameter) rounds.
-    Rounds are written tables; the loop ends when no label changes.
+    (one aggregate with a map-side step), then jumps to that label's own label. Labels fall to
+    the minimum in about log2(diameter) rounds. Labels reach the edges of a hub, and the nodes
+    of a large component, as group facts: neither is gathered under one join key. Rounds are
+    written tables; the loop ends when no label changes.
     """
     one = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u <> v")
     ways = F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))
     both = stage(one.select(F.inline(ways)).distinct(), f"{name}-edges")
     # As many tasks as the graph needs, whatever the session's number of partitions.
-    tasks = both.count() // EDGES_PER_TASK + 1
-    first = both.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.col("u")).alias("label"))
+    n_edges = both.count()
+    tasks = n_edges // EDGES_PER_TASK + 1
+    first = both.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.col("u")).alias("label"), F.count(F.lit(1)).alias("degree"))
     labels = stage(first.coalesce(tasks), f"{name}-labels")
+    n_nodes = labels.count()
     while True:
-        heard = (
-            both.join(labels, both.v == labels.node)
-            .groupBy("u")
-            .agg(F.min("label").alias("heard"))
-        )
-        low = labels.join(heard, labels.node == heard.u, "left").select(
-            "node", F.col("label").alias("old"), F.least("label", F.coalesce("heard", "label")).alias("low")
-        )
-        jump = labels.select(F.col("node").alias("low"), F.col("label").alias("far"))
+        told = labels.select(F.col("node").alias("v"), "degree", "label")
+        heard = attach_group_facts(both, told, ["v"], "degree", "u", n_edges).groupBy("u").agg(F.min("label").alias("heard"))
+        low = labels.join(heard, labels.node == heard.u).select("node", "degree", F.col("label").alias("old"), F.least("label", "heard").alias("low"))
+        low = stage(low.coalesce(tasks), f"{name}-low")
+        # A label that is a node has that node's label; sizes are those of the groups by label.
+        sizes = low.groupBy("low").agg(F.count(F.lit(1)).alias("size"))
+        jump = sizes.join(low.select(F.col("node").alias("low"), F.col("low").alias("far")), "low")
+        near = attach_group_facts(low, jump, ["low"], "size", "node", n_nodes)
         new = stage(
-            low.join(jump, "low", "left").select(
-                "node", "old", F.least("low", F.coalesce("far", "low")).alias("label")
-            ).coalesce(tasks),
-            f"{name}-labels",
+            near.select("node", "degree", "old", F.least("low", F.coalesce("far", "low")).alias("label")).coalesce(tasks), f"{name}-labels"
         )
         if new.where("label <> old").limit(1).count() == 0:
             return new.select("node", F.col("label").alias("component"))
-        labels = new.select("node", "label")
+        labels = new.select("node", "degree", "label")
 
 
 def running_offsets(totals: DataFrame, order: list[str], value: str, partition: list[str] | None = None) -> DataFrame:

@@ -355,7 +355,8 @@ def classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id") ->
     ledger = shared.where("leader <> node").groupBy(F.col("node").alias("a"), F.col("leader").alias("b")).agg(F.count(F.lit(1)).alias("bands"))
     needed = shared.select("node").distinct()
     # The text of a node: any of the rows with its id; ids are unique in a clean corpus.
-    bodies = stage(rows.join(needed, "node").dropDuplicates(["node"]), "near-bodies")
+    # Texts are shuffled to their nodes at every size, so that cost grows with the input alone.
+    bodies = stage(rows.join(needed.hint("shuffle_hash"), "node").dropDuplicates(["node"]), "near-bodies")
 
     best = F.max_by(F.col("b"), F.struct(F.col("bands"), -F.col("b")))
     first = stage(ledger.groupBy("a").agg(best.alias("b")), "near-first")
@@ -395,11 +396,21 @@ def digest(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """The documents, all columns, that stay: one row of each class."""
-    found = classes(docs, threshold)
-    stay = found.where("kept AND node IS NOT NULL").select("node").distinct()
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("node"), F.xxhash64("text").alias("h"), F.struct("*").alias("row"))
-    kept = rows.join(stay, "node", "left_semi")
-    # Of rows that share the id, the one with the smallest hash of its text.
-    one = kept.groupBy("node").agg(F.min_by("row", "h").alias("row"))
-    return one.select("row.*").union(rows.where("node IS NULL").select("row.*"))
+    """The documents, all columns, that stay: one row of each class.
+
+    Rows are told apart by id; those without an id, or whose id occurs again, by id and text (a
+    negative number hashed from both), so that unlike rows with one id are documents of their own.
+    Of rows equal in id and text one stays. Ids of other rows are not negative.
+    """
+    long_id = F.col("doc_id").cast("bigint")
+    again = docs.groupBy(long_id.alias("_node")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1 AND _node IS NOT NULL")
+    rows = docs.select(F.struct("*").alias("row"), long_id.alias("_node"), "text")
+    told = attach_group_facts(rows, stage(again, "near-repeated-ids"), ["_node"], "_n", "text")
+    shared = F.col("_node").isNull() | F.col("_n").isNotNull()
+    made = -1 - F.shiftrightunsigned(F.xxhash64("_node", "text"), 1)
+    keyed = told.select("row", "text", shared.alias("shared"), F.when(shared, made).otherwise(F.col("_node")).alias("key"))
+    found = classes(keyed, threshold, "key")
+    kept = keyed.join(found.where("kept").select(F.col("node").alias("key")).distinct(), "key", "left_semi")
+    # Rows equal in id and text: the one with the smallest hash of all columns.
+    one = kept.where("shared").groupBy("key").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return kept.where("NOT shared").select("row.*").union(one.select("row.*"))

@@ -19,7 +19,8 @@ To keep the passes narrow, windows that must fall together are carried as one ro
 * Pass 3. The last digit is the window itself, for cells still undecided.
 
 Every pass counts equal digits with a map-side aggregate; no group is gathered. Digits are
-64-bit substring hashes within groups that already agree on the 64 bits of the anchor.
+64-bit substring hashes within groups that already agree on 64 bits of the anchor, of a hash
+of another kind.
 Documents' bytes are read for the anchors, joined once to cut out the undecided blocks
 (settled blocks need one representative), and joined once more to remove what repeats.
 
@@ -96,6 +97,16 @@ class Hasher:
         return _mix((self.sums[end] - self.sums[start]) * self.down[start])
 
 
+def gram_hash(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Hash of the `GRAM` bytes at each place, by mixing words of eight bytes one after the other:
+    of another kind than the substring hashes, with which it shares no collisions."""
+    grams = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, GRAM)[at]).view(np.uint64)
+    h = np.full(len(at), 0x9E3779B97F4A7C15, np.uint64)
+    for k in range(grams.shape[1]):
+        h = _mix(_mix(grams[:, k] ^ h) * np.uint64(0xC2B2AE3D27D4EB4F) + h)
+    return h
+
+
 def anchors(hasher: Hasher, n: int, window: int) -> np.ndarray:
     """The anchor of the window at each start, windows running over the whole piece."""
     span = window - GRAM + 1
@@ -166,7 +177,7 @@ def anchor_rows(docs: DataFrame, window: int) -> DataFrame:
                 part = np.searchsorted(place, lo, "right") - 1
                 doc_lo = lo - place[part] + first[part]
                 cols = [
-                    hasher.of(a, a + GRAM).view(np.int64),
+                    gram_hash(data, a).view(np.int64),
                     hasher.of(lo, hi + window).view(np.int64),
                     k1[rows[part]],
                     k2[rows[part]],
@@ -333,8 +344,10 @@ def remove_repeats(docs: DataFrame, window: int = 400, id_col: str = "doc_id") -
     """Documents without the bytes that a repeated window covers.
 
     Returns the id, `kept` (binary), `n_bytes`, `n_removed` and `removed`, the maximal
-    removed byte ranges (end exclusive).
+    removed byte ranges (end exclusive). `window` is from `GRAM` to `GRAM` + 1,023 bytes.
     """
+    if not GRAM <= window < GRAM + 1024:
+        raise ValueError(f"a window has from {GRAM} to {GRAM + 1023} bytes, not {window}")
     keyed = with_row_key(docs.select(F.col(id_col).alias("_id"), "text"), "_id", "text")
     ranges = repeated_starts(keyed, window).distinct().groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("starts"))
     id_type = keyed.schema["_id"].dataType.simpleString()

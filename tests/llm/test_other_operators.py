@@ -200,12 +200,38 @@ def test_texts_over_the_sample_bound_do_not_end_it(llm):
         data[i] = (i, data[i][1] + " filler" * (60_000 if n == 0 else 30_000))
     docs = llm.createDataFrame(data, "doc_id long, text string")
     labels = llm.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(600)], "doc_id long, quality int, toxic int")
-    model = toxicity.fit(docs, labels, sample_bytes=300_000)
+    model = toxicity.load(toxicity.fit(docs, labels, sample_bytes=300_000))
     assert model.trained
     got = model.scores(toxicity.Hasher(), [b"a vile rotten thing", b"abc def ghi"])
     assert got[0] >= 0.3 > got[1]
-    with pytest.raises(ValueError):
-        toxicity.fit(docs, labels, sample_bytes=500)
+    few = toxicity.load(toxicity.fit(docs, labels, sample_bytes=500))
+    assert all(0 <= x <= 1 for x in few.scores(toxicity.Hasher(), [b"", b"a vile rotten thing"]))
+
+
+@pytest.mark.parametrize("marks", [[0, 1], [0, 0, 1, 0, 0, 1], [1], [0, 0], [1, 1, 0]])
+def test_toxicity_with_few_labels(llm, no_docs, marks):
+    texts = ["abc def ghi jkl", "a vile rotten thing"]
+    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 4 != 2][: len(marks)]
+    docs = llm.createDataFrame([(i, texts[m]) for i, m in zip(ids, marks)] + [(777, "vile rotten"), (778, None)], "doc_id long, text string")
+    labels = llm.createDataFrame([(i, 0, m) for i, m in zip(ids, marks)], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r for r in toxicity.digest(docs, labels).collect()}
+    assert len(got) == len(marks) + 2 and all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in got.values())
+    if len(set(marks)) == 2:
+        assert all(got[i]["predicted"] == m for i, m in zip(ids, marks))
+    assert toxicity.digest(no_docs, labels).collect() == []
+
+
+def test_training_lowers_the_loss():
+    rng = random.Random(3)
+    texts = [(H.prose(rng, 20) + (" vile" if i % 2 else "")).encode() for i in range(64)]
+    y = np.array([i % 2 for i in range(64)])
+    before, after = toxicity.train(texts, y, epochs=0), toxicity.train(texts, y, epochs=3)
+
+    def loss(model):
+        p = 1 / (1 + np.exp(-model.raw(toxicity.Hasher(), texts[:48])))
+        return float(-np.mean(np.where(y[:48] == 1, np.log(p + 1e-9), np.log(1 - p + 1e-9))))
+
+    assert loss(after) < loss(before)
 
 
 def test_long_texts_are_scored_whole():
@@ -425,3 +451,24 @@ def test_sql_of_queries(spark):
         assert cols == sorted(got.columns), name
         plain = lambda v: json.dumps([None if x is None or pandas.isna(x) else (x.item() if hasattr(x, "item") else x) for x in v])
         assert Counter(plain(r) for r in got.toPandas()[cols].astype(object).values) == Counter(plain(r) for r in want[cols].astype(object).values), name
+
+
+def test_one_of_each_keeps_unlike_rows_with_one_id(llm, no_docs):
+    from dockwise.llm import near_dup
+
+    rng = random.Random(21)
+    a, b, c = (H.prose(rng, 60) for _ in range(3))
+    rows = [(1, a, "x"), (1, b, "y"), (2, a + " end", "z"), (3, c, "w"), (3, c, "w"), (None, b, "v"), (None, "alone here", "u"), (None, None, "n"), (4, None, "m"), (5, "", "l")]
+    docs = llm.createDataFrame(rows, "doc_id long, text string, node string")
+    kept = near_dup.one_of_each(docs)
+    assert kept.columns == docs.columns
+    got = Counter((r["text"] or "").replace(" end", "") for r in kept.collect())
+    assert got == Counter([a, b, c, "alone here", "", "", ""])
+    assert near_dup.one_of_each(no_docs).collect() == []
+
+
+def test_components_with_a_hub_spread_it(llm):
+    n = 4000
+    edges = [(5, 100_000 + i) for i in range(n)] + [(100_000 + n - 1, 3)]
+    got = common.connected_components(llm.createDataFrame(edges, "a long, b long"), "a", "b", "test").collect()
+    assert len(got) == n + 2 and {r["component"] for r in got} == {3}

@@ -182,3 +182,22 @@ def test_empty_tables(llm, no_docs, docs, rows):
     got = decontam.digest(docs, bench).collect()
     assert len(got) == len(rows) and {(g["n_hit"], g["n_items"], g["contaminated"]) for g in got} == {(0, 0, False)}
     assert got[0]["items_sha256"] == hashlib.sha256(b"").hexdigest()
+
+
+def thue_morse(n, letters):
+    return "".join(letters[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_windows_that_collide_in_polynomial_hashes(llm):
+    # Thue-Morse words and their complements have equal sums in any polynomial modulo 2**64.
+    texts = [thue_morse(2048, "ab"), thue_morse(2048, "ba"), "x" + thue_morse(1024, "ab"), thue_morse(1024, "ba") + "y"]
+    docs = llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = suffix_dedup.remove_repeats(docs).collect()
+    truth = H.removed_windows(texts, 400)
+    assert {g["doc_id"]: (bytes(g["kept"]), g["n_removed"], len(g["removed"])) for g in got} == dict(enumerate(truth))
+
+
+@pytest.mark.parametrize("window", [0, 31, 1056])
+def test_windows_outside_the_bounds_are_an_error(docs, window):
+    with pytest.raises(ValueError):
+        suffix_dedup.remove_repeats(docs, window)
