@@ -12,14 +12,17 @@ Information-theoretic sanitisation. Each distinct base value is a protected enti
 term `t` seen within `CONTEXT` words of an entity `e`, the disclosure is the pointwise
 mutual information relative to the entity's information content,
 
-    PMI(e, t) / IC(e) = 1 + log2(n(e, t) / n(t)) / log2(N / n(e)),
+    PMI(e, t) / IC(e) = 1 + log2(n(e, t) / (n(t) + c)) / log2(N / n(e)),
 
 counted over documents: n(e, t) holding the term near the entity, n(t) holding the term
-anywhere, n(e) holding the entity, N all. The `CONTEXT` words on each side are counted in
-the whole text, whatever other matches lie between; a word that the span's edge cuts counts
-with its part outside. The text is read in growing stretches, mostly the first of `REACHES`,
-until a stretch holds enough words or ends with the text. It is 1 for a term found nowhere else. Pairs seen
-in fewer than `min_texts` different texts give no estimate, so copies alone prove nothing. Terms of at least `generalise` are
+anywhere, n(e) holding the entity, N all. It is near 1 for a term found nowhere else. `c` shrinks
+estimates on little evidence: it stands for `prior` further texts that hold the term without
+the entity (each with as many copies as the texts that do have on average). So rare entities,
+which a rare word beside them reveals most, have estimates too, which fall short of those
+that several texts bear out; copies of one text are one text. The `CONTEXT` words on each side are
+counted in the whole text, whatever other matches lie between; a word that the span's edge cuts
+counts with its part outside. The text is read in growing stretches, mostly the first of
+`REACHES`, until a stretch holds enough words or ends with the text. Terms of at least `generalise` are
 generalised, of at least `remove` removed, at all their places in documents that hold that
 entity. Counts cover all documents and
 are made with map-side aggregates.
@@ -184,13 +187,13 @@ def contexts(base: DataFrame, held: DataFrame) -> DataFrame:
     return rows.select(*KEY, "_t1", "_t2", "copies", "entity", F.lower("x.w").alias("term"), "x.start", "x.end")
 
 
-def disclosures(keyed: DataFrame, seen: DataFrame, min_texts: int, generalise: float) -> DataFrame:
+def disclosures(keyed: DataFrame, seen: DataFrame, prior: float, generalise: float) -> DataFrame:
     """`(entity, term, uses, degree)` of pairs whose disclosure reaches `generalise`."""
     text = ["_t1", "_t2"]
     per_document = seen.groupBy("entity", "term", *text, *KEY).agg(F.max("copies").alias("n"), F.count(F.lit(1)).alias("uses"))
     per_text = per_document.groupBy("entity", "term", *text).agg(F.sum("n").alias("n"), F.sum("uses").alias("uses"))
     pairs = per_text.groupBy("entity", "term").agg(F.sum("n").alias("n_et"), F.sum("uses").alias("uses"), F.count(F.lit(1)).alias("texts"))
-    pairs = stage(pairs.where(F.col("texts") >= min_texts), "pii-pairs")
+    pairs = stage(pairs, "pii-pairs")
     entities = seen.select("entity", *KEY, "copies").distinct().groupBy("entity").agg(F.sum("copies").alias("n_e"))
     n_all = keyed.count()
     # Document frequency of the terms that occur in pairs, over the whole corpus.
@@ -199,7 +202,8 @@ def disclosures(keyed: DataFrame, seen: DataFrame, min_texts: int, generalise: f
     n_t = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")).join(terms, "term", "left_semi")
     judged = pairs.join(entities, "entity").join(n_t, "term").withColumn("n_all", F.lit(n_all))
     information = F.log2(F.col("n_all") / F.col("n_e"))
-    degree = F.when(information > 0, 1 + F.log2(F.col("n_et") / F.greatest("n_t", "n_et")) / information)
+    held = F.greatest("n_t", "n_et") + F.lit(prior) * F.col("n_et") / F.col("texts")
+    degree = F.when(information > 0, 1 + F.log2(F.col("n_et") / held) / information)
     return judged.select("entity", "term", "uses", degree.alias("degree")).where(F.col("degree") >= generalise)
 
 
@@ -225,14 +229,14 @@ def all_places(base: DataFrame, held: DataFrame, told: DataFrame) -> DataFrame:
     return held.join(sought, list(KEY)).select(*KEY, F.inline(done["out"]))
 
 
-def find_spans(docs: DataFrame, min_texts: int = 3, generalise: float = 0.75, remove: float = 0.9, id_col: str = "doc_id") -> DataFrame:
+def find_spans(docs: DataFrame, prior: float = 2.0, generalise: float = 0.75, remove: float = 0.9, id_col: str = "doc_id") -> DataFrame:
     """`(_id, text, base, spans)`: sorted arrays of `(start, rank, end, kind, action)`."""
     rows = docs.select(F.col(id_col).alias("_id"), F.coalesce("text", F.lit("")).alias("text"))
     keyed = with_row_key(rows, "_id", "text").withColumns({"_t1": F.xxhash64("text"), "_t2": F.xxhash64(F.lit("second"), "text")})
     base = base_spans(keyed)
     held = holding(keyed)
     seen = stage(contexts(base, held), "pii-contexts")
-    told = stage(disclosures(keyed, seen, min_texts, generalise), "pii-disclosures")
+    told = stage(disclosures(keyed, seen, prior, generalise), "pii-disclosures")
     rank = F.create_map(*[x for i, k in enumerate(KINDS) for x in (F.lit(k), F.lit(i))])
     found = base.select(*KEY, F.struct("start", rank[F.col("kind")].alias("rank"), "end", "kind", F.lit("mask").alias("action")).alias("span"))
     action = F.when(F.col("degree") >= remove, "remove").otherwise("generalise")

@@ -9,8 +9,9 @@ are grouped, with a map-side step, and hot digests do not gather in a task.
 
 Reading. Files are listed with their lengths (no content is read for that) and cut into
 byte ranges. A task searches its range for the gzip magic, and validates each candidate by
-decoding the member's start: it must inflate to a WARC version line and a header block
-with a type, an id and a length. A range owns the records that start inside it, and reads
+decoding the member's start: it must inflate to the line of any WARC 1 version and a header
+block with a type, an id and a length; field names may be in any case. A member that begins
+as a record and lacks one of these is an error, not left out. A range owns the records that start inside it, and reads
 on past its end to finish the last one. Candidates inside compressed data fail validation;
 and once a member is decoded the search goes on behind it, so payload bytes that look like
 a member cannot be taken for one, except in the tail of a record begun in an earlier range,
@@ -20,12 +21,15 @@ valid gzip member with a WARC header.
 Defined cases: null html is an empty payload; equal ids and payloads give equal records;
 rows whose ids tie for the largest of a payload are all responses; a null id never
 represents a payload and its records are written as responses unless a row with an id
-holds the same payload; an empty table gives an empty result.
+holds the same payload; an empty table gives an empty result. Pages without a column of
+addresses, or with a null one, have no target address in their records. Records bear the time
+that `write_archives` is given, the same for all, so that repeated tasks write equal bytes.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -38,12 +42,17 @@ from dockwise.llm.common import attach_group_facts, filesystem, shared_folder, s
 
 MAGIC = b"\x1f\x8b\x08"
 VERSION = b"WARC/1.1\r\n"
+ANY_VERSION = re.compile(rb"WARC/1\.[0-9]+\r\n")
+LEAD = b"WARC/1."
+NEEDED = (b"warc-type", b"warc-record-id", b"content-length")
+# Fixed value: the profile of revisits by payload digest in WARC 1.1.
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 EXTENSION = ".warc.gz"
 RECORDS = "warc_type string, record_id string, refers_to string, payload_digest string, payload_bytes long, payload binary, path string, offset long"
 
 
-def plan_records(pages: DataFrame, min_bytes: int = 1000, id_col: str = "page_id", body: str = "html") -> DataFrame:
-    """Pages with `_digest`, `_bytes` and `_response` (the id that holds the payload)."""
+def plan_records(pages: DataFrame, min_bytes: int = 1000, id_col: str = "page_id", body: str = "html", url: str = "url") -> DataFrame:
+    """Pages with `_digest`, `_bytes`, `_response` (the id that holds the payload) and `_url`."""
     payload = F.coalesce(F.col(body), F.lit("")).cast("binary")
     narrow = stage(
         pages.select(F.col(id_col).alias("_id"), F.sha1(payload).alias("_digest"), F.octet_length(payload).cast("bigint").alias("_bytes")),
@@ -53,24 +62,29 @@ def plan_records(pages: DataFrame, min_bytes: int = 1000, id_col: str = "page_id
     facts = groups.where(F.col("_n") > 1).where(F.col("_bytes") >= min_bytes)
     # Equal rows may repeat; one fact per id and digest keeps the join back one to one.
     per_id = attach_group_facts(narrow.distinct(), facts, ["_digest", "_bytes"], "_n", "_id")
-    rows = pages.select(F.col(id_col).alias("_id"), F.coalesce(F.col(body), F.lit("")).cast("binary").alias("_payload"))
+    address = F.col(url).cast("string") if url in pages.columns else F.lit(None).cast("string")
+    rows = pages.select(F.col(id_col).alias("_id"), F.coalesce(F.col(body), F.lit("")).cast("binary").alias("_payload"), address.alias("_url"))
     rows = rows.withColumn("_digest", F.sha1("_payload")).withColumn("_bytes", F.octet_length("_payload").cast("bigint"))
     # Only revisits need to know more than their own digest.
     revisits = per_id.where("_response <> _id OR (_id IS NULL AND _response IS NOT NULL)").select(
         F.col("_id").alias("_j"), F.col("_digest").alias("_jd"), "_response"
     )
     on = F.col("_id").eqNullSafe(F.col("_j")) & (F.col("_digest") == F.col("_jd"))
-    return rows.join(revisits, on, "left").select("_id", "_payload", "_digest", "_bytes", "_response")
+    return rows.join(revisits, on, "left").select("_id", "_payload", "_digest", "_bytes", "_response", "_url")
 
 
-def _record(kind: str, rid: str, refers: str | None, digest: str, size: int, payload: bytes) -> bytes:
+def _record(kind: str, rid: str, refers: str | None, digest: str, size: int, payload: bytes, date: str = "1970-01-01T00:00:00Z", url: str | None = None) -> bytes:
     lines = [
         f"WARC-Type: {kind}",
         f"WARC-Record-ID: <urn:row:{rid}>",
+        f"WARC-Date: {date}",
         f"WARC-Payload-Digest: sha1:{digest}",
         f"X-Payload-Length: {size}",
     ]
+    if url is not None:
+        lines.append("WARC-Target-URI: " + re.sub(r"[\x00-\x20\x7f]", lambda c: f"%{ord(c[0]):02X}", url))
     if refers is not None:
+        lines.append(f"WARC-Profile: {PROFILE}")
         lines.append(f"WARC-Refers-To: <urn:row:{refers}>")
     lines.append(f"Content-Length: {len(payload)}")
     raw = VERSION + "\r\n".join(lines).encode() + b"\r\n\r\n" + payload + b"\r\n\r\n"
@@ -78,8 +92,8 @@ def _record(kind: str, rid: str, refers: str | None, digest: str, size: int, pay
     return packer.compress(raw) + packer.flush()
 
 
-def write_archives(records: DataFrame, folder: str) -> DataFrame:
-    """Write planned records below `folder`; returns `(path, records, bytes)` per file."""
+def write_archives(records: DataFrame, folder: str, date: str = "1970-01-01T00:00:00Z") -> DataFrame:
+    """Write planned records below `folder`, dated `date`; returns `(path, records, bytes)` per file."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, base = filesystem(folder)
@@ -90,8 +104,8 @@ def write_archives(records: DataFrame, folder: str) -> DataFrame:
         count = size = 0
         with files.open_output_stream(draft, compression=None) as out:
             for batch in batches:
-                for row in zip(*[batch.column(c) for c in ("_id", "_payload", "_digest", "_bytes", "_response")], strict=True):
-                    rid, payload, digest, n, response = (v.as_py() for v in row)
+                for row in zip(*[batch.column(c) for c in ("_id", "_payload", "_digest", "_bytes", "_response", "_url")], strict=True):
+                    rid, payload, digest, n, response, url = (v.as_py() for v in row)
                     revisit = response is not None and response != rid
                     member = _record(
                         "revisit" if revisit else "response",
@@ -100,6 +114,8 @@ def write_archives(records: DataFrame, folder: str) -> DataFrame:
                         digest,
                         n,
                         b"" if revisit else payload,
+                        date,
+                        url,
                     )
                     out.write(member)
                     count, size = count + 1, size + len(member)
@@ -110,11 +126,16 @@ def write_archives(records: DataFrame, folder: str) -> DataFrame:
 
 
 def _headers(block: bytes) -> dict[bytes, bytes] | None:
-    """The named fields of a WARC header block, or None if it is not one."""
-    if not block.startswith(VERSION):
+    """The fields of a WARC header block, names in lower case, or None if it is not one."""
+    version = ANY_VERSION.match(block)
+    if not version:
         return None
-    fields = dict(line.split(b": ", 1) for line in block[len(VERSION) :].split(b"\r\n") if b": " in line)
-    return fields if {b"WARC-Type", b"WARC-Record-ID", b"Content-Length"} <= fields.keys() else None
+    pairs = (line.split(b":", 1) for line in block[version.end() :].split(b"\r\n") if b":" in line)
+    fields = {name.strip().lower(): value.strip() for name, value in pairs}
+    lacking = [n.decode() for n in NEEDED if n not in fields]
+    if lacking:
+        raise ValueError(f"a WARC record without {', '.join(lacking)}")
+    return fields
 
 
 class _Member:
@@ -148,7 +169,7 @@ def _candidate(source, at: int, piece: int) -> tuple[_Member, dict[bytes, bytes]
     member = _Member(source, at, piece)
     try:
         while (cut := member.out.find(b"\r\n\r\n")) < 0:
-            if len(member.out) >= len(VERSION) and not member.out.startswith(VERSION):
+            if len(member.out) >= len(LEAD) and not member.out.startswith(LEAD):
                 return None
             if len(member.out) > 1 << 20 or not member.more(4096):
                 return None
@@ -178,7 +199,7 @@ def scan_range(source, size: int, start: int, end: int, piece: int = 1 << 16) ->
         member, fields, body = found
         while member.more():
             pass
-        length = int(fields[b"Content-Length"])
+        length = int(fields[b"content-length"])
         if len(member.out) < body + length:
             raise ValueError(f"record at {at} is shorter than its Content-Length")
         yield at, fields, bytes(member.out[body : body + length])
@@ -211,8 +232,8 @@ def read_archives(spark: SparkSession, folder: str, range_bytes: int = 8 << 20)
                 rows, held = [], 0
                 with files.open_input_file(place) as source:
                     for offset, h, payload in scan_range(source, size, start, min(size, start + range_bytes)):
-                        digest = h.get(b"WARC-Payload-Digest", b"").decode().removeprefix("sha1:")
-                        rows.append((h[b"WARC-Type"].decode(), _name(h[b"WARC-Record-ID"]), _name(h.get(b"WARC-Refers-To")), digest, int(h.get(b"X-Payload-Length", b"0")), payload, path, offset))
+                        digest = h.get(b"warc-payload-digest", b"").decode().removeprefix("sha1:")
+                        rows.append((h[b"warc-type"].decode(), _name(h[b"warc-record-id"]), _name(h.get(b"warc-refers-to")), digest, int(h.get(b"x-payload-length", b"0")), payload, path, offset))
                         held += len(payload)
                         if held > 16 << 20:
                             yield _rows(rows)

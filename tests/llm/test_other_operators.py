@@ -6,7 +6,7 @@ import math
 import random
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pandas
@@ -156,6 +156,47 @@ def test_disclosing_terms_beyond_other_matches_and_at_all_places(llm):
         assert [s for s in spans[i] if s.startswith("term")] == [f"term:{m.start()}:{m.end()}" for m in re.finditer("(?i)zorvax", t)]
 
 
+def plain_disclosures(texts, prior=2.0, least=0.75):
+    """Degrees by (entity, term), counted in plain Python; `texts` holds copies as often as they occur."""
+    near, held, having = Counter(), Counter(), Counter()
+    kinds = defaultdict(set)
+    for t in texts:
+        t = t or ""
+        having.update({w.lower() for w in re.findall(r"[^\W_]+", t)})
+        pairs, entities = set(), set()
+        for start, _, end, kind in base_spans(t):
+            value = t[start:end].lower() if kind == "email" else re.sub("[^0-9.]", "", t[start:end])
+            entities.add(f"{kind}:{value}")
+            words = re.findall(r"[^\W_]+", t[:start])[-8:] + re.findall(r"[^\W_]+", t[end:])[:8]
+            pairs.update((f"{kind}:{value}", w.lower()) for w in words)
+        near.update(pairs)
+        held.update(entities)
+        for pair in pairs:
+            kinds[pair].add(t)
+    out = {}
+    for (e, w), n in near.items():
+        information = math.log2(len(texts) / held[e])
+        if information > 0:
+            degree = 1 + math.log2(n / (max(having[w], n) + prior * n / len(kinds[e, w]))) / information
+            if degree >= least:
+                out[e, w] = degree
+    return out
+
+
+def test_disclosures_equal_plain_counts(llm):
+    rng = random.Random(31)
+    texts = [f"{H.prose(rng, 12)} call jo{i % 7}@ex.org or {rng.choice(['zab', 'qix'])} {H.prose(rng, 6)}" for i in range(40)]
+    texts += [f"only one uniqueword here 10.2.3.{i} {H.prose(rng, 9)}" for i in range(3)] + texts[:2] * 3 + [H.prose(rng, 25) for _ in range(150)]
+    docs = llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    keyed = common.with_row_key(docs, "doc_id", "text").selectExpr("*", "xxhash64(text) AS _t1", "xxhash64('second', text) AS _t2")
+    seen = common.stage(pii.contexts(pii.base_spans(keyed), pii.holding(keyed)), "test-contexts")
+    got = {(r["entity"], r["term"]): r["degree"] for r in pii.disclosures(keyed, seen, 2.0, 0.75).collect()}
+    want = plain_disclosures(texts)
+    assert got.keys() == want.keys() and want and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    # Rare entities have estimates: a word that occurs beside one of them alone.
+    assert any(k[0].startswith("ip:") for k in want)
+
+
 # ---------------------------------------------------------------- toxicity
 
 
@@ -284,6 +325,29 @@ def test_ranges_own_the_records_that_start_in_them():
         assert [b for _, b in found] == bodies and len({at for at, _ in found}) == len(bodies)
 
 
+def test_records_of_other_writers_and_mandatory_fields():
+    import gzip
+    import io
+
+    file = b"".join(
+        gzip.compress(h + b"\r\n\r\n" + b"body" + b"\r\n\r\n")
+        for h in (
+            b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <a>\r\nContent-Length: 4",
+            b"WARC/1.1\r\nwarc-type:response\r\nWarc-Record-Id:  <b>\r\ncontent-length:4",
+        )
+    )
+    found = list(warc.scan_range(io.BytesIO(file), len(file), 0, len(file)))
+    assert [(f[b"warc-record-id"], b) for _, f, b in found] == [(b"<a>", b"body"), (b"<b>", b"body")]
+    broken = gzip.compress(b"WARC/1.0\r\nWARC-Type: response\r\n\r\nbody")
+    with pytest.raises(ValueError, match="warc-record-id"):
+        list(warc.scan_range(io.BytesIO(broken), len(broken), 0, len(broken)))
+    for refers in (None, "7"):
+        made = gzip.decompress(warc._record("revisit" if refers else "response", "1", refers, "ab", 4, b"body", "2021-06-19T00:00:00Z", "http://x/a b"))
+        head = made.split(b"\r\n\r\n")[0].decode().split("\r\n")
+        assert "WARC-Date: 2021-06-19T00:00:00Z" in head and "WARC-Target-URI: http://x/a%20b" in head
+        assert (f"WARC-Profile: {warc.PROFILE}" in head) == (refers is not None)
+
+
 # ---------------------------------------------------------------- mixing
 
 
