@@ -399,15 +399,16 @@ def one_of_each(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """The documents, all columns, that stay: one row of each class.
 
     Rows are told apart by id; those without an id, or whose id occurs again, by id and text (a
-    negative number hashed from both), so that unlike rows with one id are documents of their own.
-    Of rows equal in id and text one stays. Ids of other rows are not negative.
+    number of at least 2**62 hashed from both), so that unlike rows with one id are documents of
+    their own. Of rows equal in id and text one stays, of a class the smallest number. Ids of
+    other rows are below 2**62.
     """
     long_id = F.col("doc_id").cast("bigint")
     again = docs.groupBy(long_id.alias("_node")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1 AND _node IS NOT NULL")
     rows = docs.select(F.struct("*").alias("row"), long_id.alias("_node"), "text")
     told = attach_group_facts(rows, stage(again, "near-repeated-ids"), ["_node"], "_n", "text")
     shared = F.col("_node").isNull() | F.col("_n").isNotNull()
-    made = -1 - F.shiftrightunsigned(F.xxhash64("_node", "text"), 1)
+    made = F.shiftrightunsigned(F.xxhash64("_node", "text"), 2) + (1 << 62)
     keyed = told.select("row", "text", shared.alias("shared"), F.when(shared, made).otherwise(F.col("_node")).alias("key"))
     found = classes(keyed, threshold, "key")
     kept = keyed.join(found.where("kept").select(F.col("node").alias("key")).distinct(), "key", "left_semi")
