@@ -13,12 +13,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyarrow import fs as pafs
@@ -166,6 +167,23 @@ def connected_components(edges: DataFrame, src: str, dst: str, name: str) -> Dat
         labels = new.select("node", "degree", "label")
 
 
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """`run`, which at its end gives freed memory back to the system: workers serve many stages,
+    and what one has freed would count against the next."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+            if trim:
+                trim(0)
+
+    return wrapped
+
+
 def running_offsets(totals: DataFrame, order: list[str], value: str, partition: list[str] | None = None) -> DataFrame:
     """Sum of `value` over the earlier rows of a small totals table (one row per part)."""
     w = Window.partitionBy(*(partition or [])).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)

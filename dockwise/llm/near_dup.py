@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockwise.llm.common import attach_group_facts, connected_components, discard, stage, texts
+from dockwise.llm.common import attach_group_facts, connected_components, discard, stage, texts, tidy
 from dockwise.llm.suffix_dedup import Hasher, _mix
 
 SHINGLE = 5
@@ -185,7 +185,7 @@ def signed(docs: DataFrame) -> DataFrame:
             if ids:
                 yield piece(ids, bodies)
 
-    return docs.where("node IS NOT NULL").select("node", "text").mapInArrow(run, "node long, w1 long, w2 long, sig binary, flat binary")
+    return docs.where("node IS NOT NULL").select("node", "text").mapInArrow(tidy(run), "node long, w1 long, w2 long, sig binary, flat binary")
 
 
 def _regs(column: pa.Array, dtype: type = np.uint32, registers: int = REGISTERS, otherwise: pa.Array | None = None) -> np.ndarray:
@@ -269,7 +269,7 @@ def verified(pairs: DataFrame, bodies: DataFrame, threshold: float) -> DataFrame
                 keep.append(similarity(of(a, ta), of(b, tb)) >= threshold)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.mapInArrow(run, "a long, b long")
+    return both.mapInArrow(tidy(run), "a long, b long")
 
 
 def _bucket_pairs(threshold: float):
@@ -375,7 +375,7 @@ def classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id") ->
     dealt = dealt.join(sigs, "node").select("band", "bucket", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "side", "node", "comp", "sig", "wide", "flat", "flat_wide")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = dealt.repartition(parts, "band", "bucket", "lo", "hi").sortWithinPartitions("band", "bucket", "lo", "hi")
-    more = ordered.mapInArrow(_bucket_pairs(threshold), "a long, b long").distinct()
+    more = ordered.mapInArrow(tidy(_bucket_pairs(threshold)), "a long, b long").distinct()
     tried = first.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     more = stage(more.join(tried, ["a", "b"], "left_anti"), "near-more")
     links = links.union(verified(more, bodies, threshold))
