@@ -8,8 +8,11 @@ binary-searched in it.
 The arrays are sparse and depth-limited, both without loss. A suffix is kept only if a chain
 of benchmark word pairs of the needed length starts at it: other suffixes cannot match a
 window. Order beyond the window length is never used, because a longer match is a run of
-window matches at the same distance between document and item; such runs are joined into
-the longest verbatim matches, with their places on both sides.
+window matches at the same distance between document and item. Equal benchmark suffixes are
+searched once, and a place of a document is listed once for each size of window, so the work
+is linear in the words on both sides, however often they repeat. For each item that shares a
+window with a document, the longest verbatim match and its places on both sides are kept
+(of several, the first in the item, then in the document).
 
 The benchmark is the query set. It is cut by item into blocks of at most `block_bytes` of
 text; one block is broadcast at a time and each document keeps a bitmap of the words hit
@@ -36,6 +39,7 @@ LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 # UTF-8 bytes of the word characters: digits, a-z, and every byte of a non-ASCII code point.
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 BITS = 22
+ARRAY = 1 << 20  # suffixes of one array
 
 MATCHES = "array<struct<item_id:string, item_word:int, doc_word:int, n_words:int>>"
 
@@ -50,41 +54,50 @@ class _Vocabulary(dict):
 
 
 class TestSuffixes:
-    """The suffixes of a block of items, as rows of word numbers padded with zeros."""
+    """The suffixes of a block of items, cut at the window length.
+
+    Equal ones are one window: `low` holds the distinct windows in order, and the items of
+    window `g` are the rows `first[g]` to `first[g + 1]` of `item`, `place` (its first place
+    there) and `times`. Window numbers of item `i` in reading order are `window_of[edges[i]:edges[i + 1]]`.
+    """
 
     def __init__(self, items: list[tuple[str, bytes]], window: int) -> None:
         self.window = window
         self.vocabulary = _Vocabulary()
         number = lambda w: self.vocabulary.setdefault(w, len(self.vocabulary) + 1)
-        self.items, rows, item, place, size = [], [], [], [], []
-        pairs = set()
+        self.items, tables = [], [np.zeros((0, window), np.int32)]
+        pairs = [np.zeros((0, 2), np.int32)]
         for item_id, text in items:
-            ids = [number(w) for w in words(text)]
-            if not ids:
+            ids = np.array([number(w) for w in words(text)], np.int32)
+            if not len(ids):
                 continue
-            n = min(window, len(ids))
-            for p in range(len(ids) - n + 1):
-                rows.append(ids[p : p + n] + [0] * (window - n))
-                item.append(len(self.items))
-                place.append(p)
-                size.append(n)
-            pairs.update(zip(ids, ids[1:], strict=False))
+            short = max(window - len(ids), 0)
+            tables.append(np.lib.stride_tricks.sliding_window_view(np.pad(ids, (0, short)), window))
+            pairs.append(np.stack([ids[:-1], ids[1:]], axis=1))
             self.items.append(item_id)
-        self.item, self.place, self.size = (np.array(a, np.int64) for a in (item, place, size))
-        self.shortest = int(self.size.min()) if size else 0
-        table = np.array(rows, dtype=np.int64).reshape(-1, window)
-        self.low = _keys(table)
+        counts = np.array([len(t) for t in tables[1:]], np.int64)
+        self.edges = np.concatenate([[0], np.cumsum(counts)])
+        self.low, one, self.window_of = np.unique(_keys(np.concatenate(tables)), return_index=True, return_inverse=True)
+        table = np.concatenate(tables)[one]
+        self.size = np.count_nonzero(table, axis=1)
+        self.shortest = int(self.size.min()) if len(table) else 0
         # Upper end of a prefix search: everything behind a short window.
-        self.high = _keys(np.where((np.arange(window) >= self.size[:, None]), np.iinfo(np.int32).max, table))
+        self.high = _keys(np.where(np.arange(window) >= self.size[:, None], np.iinfo(np.int32).max, table))
+        owner = np.repeat(np.arange(len(counts)), counts)
+        held, at, self.times = np.unique(self.window_of * max(len(counts), 1) + owner, return_index=True, return_counts=True)
+        self.item, self.place = owner[at], at - self.edges[owner[at]]
+        self.first = np.searchsorted(held, np.arange(len(table) + 1) * max(len(counts), 1))
+        linked = np.concatenate(pairs)
         self.pairs = np.zeros(1 << BITS, bool)
-        if pairs:
-            a, b = np.array(sorted(pairs), dtype=np.int64).T
-            self.pairs[_mix(a, b)] = True
+        self.pairs[_mix(linked[:, 0], linked[:, 1])] = True
 
     def ids(self, text: bytes) -> np.ndarray:
         found = words(text)
         return np.fromiter(map(self.vocabulary.__getitem__, found), np.int32, len(found))
 
+    def windows(self, item: int) -> np.ndarray:
+        return self.window_of[self.edges[item] : self.edges[item + 1]]
+
 
 def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
@@ -98,13 +111,12 @@ def _keys(rows: np.ndarray) -> np.ndarray:
     return wide.view(f"S{4 * rows.shape[1]}").reshape(-1)
 
 
-def suffix_array(ids: np.ndarray, tests: TestSuffixes) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted suffix keys, through the window length, and their positions in `ids`.
+def candidates(ids: np.ndarray, tests: TestSuffixes) -> np.ndarray:
+    """Positions at which a chain of benchmark word pairs of the needed length starts.
 
     `ids` holds the shard's documents, each followed by a zero.
     """
     known = ids > 0
-    need = tests.shortest
     linked = np.zeros(len(ids), bool)  # does a benchmark word pair start here?
     linked[:-1] = known[:-1] & known[1:]
     at = np.flatnonzero(linked)
@@ -112,56 +124,132 @@ def suffix_array(ids: np.ndarray, tests: TestSuffixes) -> tuple[np.ndarray, np.n
     # Length of the chain of pairs starting at each position.
     breaks = np.where(linked, len(ids), np.arange(len(ids)))
     chain = np.minimum.accumulate(breaks[::-1])[::-1] - np.arange(len(ids))
-    at = np.flatnonzero(known & (chain >= need - 1))
-    padded = np.concatenate([ids, np.zeros(tests.window, ids.dtype)])
-    table = padded[at[:, None] + np.arange(tests.window)]
+    return np.flatnonzero(known & (chain >= tests.shortest - 1))
+
+
+def suffix_array(padded: np.ndarray, at: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys, through the window length, of the suffixes at `at`, and their positions."""
+    table = padded[at[:, None] + np.arange(window)]
     # A suffix ends at its document's end.
-    table[np.cumsum(table == 0, axis=1) > 0] = 0
+    table[np.logical_or.accumulate(table == 0, axis=1)] = 0
     keys = _keys(table)
     order = np.argsort(keys, kind="stable")
     return keys[order], at[order]
 
 
+def _spread(first: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers of the ranges `first` to `first + counts`, and the range of each."""
+    which = np.repeat(np.arange(len(counts)), counts)
+    return which, np.arange(len(which)) - np.repeat(np.cumsum(counts) - counts - first, counts)
+
+
 def occurrences(ids: np.ndarray, tests: TestSuffixes) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of (test suffix, position) where the suffix's window occurs."""
-    empty = np.zeros(0, np.int64)
-    if not tests.shortest or not len(ids):
-        return empty, empty
-    keys, at = suffix_array(ids, tests)
-    a = np.searchsorted(keys, tests.low, "left")
-    b = np.searchsorted(keys, tests.high, "right")
-    found = np.flatnonzero(b > a)
-    counts = (b - a)[found]
-    which = np.repeat(found, counts)
-    inner = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    return which, at[np.repeat(a[found], counts) + inner]
+    """Pairs of (window, position) where the window occurs, by position.
+
+    A position starts at most one window of each size, so the pairs are as many as the words,
+    however often words or windows repeat on either side.
+    """
+    found = [np.zeros((2, 0), np.int64)]
+    if tests.shortest and len(ids):
+        padded = np.concatenate([ids, np.zeros(tests.window, ids.dtype)])
+        at = candidates(ids, tests)
+        for a in range(0, len(at), ARRAY):  # arrays of bounded size, also for a document of any length
+            keys, where = suffix_array(padded, at[a : a + ARRAY], tests.window)
+            low = np.searchsorted(keys, tests.low, "left")
+            which, row = _spread(low, np.searchsorted(keys, tests.high, "right") - low)
+            found.append(np.stack([which, where[row]]))
+    window, at = np.concatenate(found, axis=1)
+    order = np.lexsort((window, at))
+    return window[order], at[order]
+
+
+def longest_run(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
+    """Start in `a`, start in `b` and length of the longest run of equal values that both hold;
+    of several the first in `b`, then in `a`. Negative values match nothing.
+
+    Runs of 2, 4, 8 ... values are numbered by pairs of runs half as long, and the longest
+    common length is put together from such powers: equal values that repeat cost nothing extra.
+    """
+    n = len(a) + len(b) + 2
+    in_b = np.arange(n) > len(a)
+
+    def shared(left: np.ndarray, right: np.ndarray, step: int) -> np.ndarray:
+        """Numbers of the runs `left` followed, `step` on, by `right`; -1 unless on both sides."""
+        out = np.full(n, -1)
+        ok = np.flatnonzero((left[: n - step] >= 0) & (right[step:] >= 0))
+        _, run = np.unique(left[ok] << 32 | right[ok + step], return_inverse=True)
+        sides = np.zeros((2, len(ok)), bool)
+        sides[in_b[ok].astype(int), run] = True
+        out[ok] = np.where(sides.all(axis=0)[run], run, -1)
+        return out
+
+    ids = np.concatenate([a, [-1], b, [-1]]).astype(np.int64)
+    powers = [shared(ids, ids, 0)]
+    if (powers[0] < 0).all():
+        return 0, 0, 0
+    while ((longer := shared(powers[-1], powers[-1], 1 << (len(powers) - 1))) >= 0).any():
+        powers.append(longer)
+    runs, length = powers[-1], 1 << (len(powers) - 1)
+    for k in reversed(range(len(powers) - 1)):
+        longer = shared(runs, powers[k], length)
+        if (longer >= 0).any():
+            runs, length = longer, length + (1 << k)
+    start = int(np.flatnonzero((runs >= 0) & in_b)[0])
+    return int(np.flatnonzero(runs == runs[start])[0]), start - len(a) - 1, length
+
+
+def _longest_matches(window: np.ndarray, at: np.ndarray, tests: TestSuffixes) -> list[dict]:
+    """The longest match of one document with each item of which it holds a window, by item.
+
+    `window` and `at` are the document's occurrences, by position. Where all windows of the
+    document and an item stand once on either side, their places are paired off; else the
+    longest run common to both is looked for.
+    """
+    held, first, times = np.unique(window, return_index=True, return_counts=True)
+    which, row = _spread(tests.first[held], tests.first[held + 1] - tests.first[held])
+    item, place, pos = tests.item[row], tests.place[row], at[first[which]]
+    order = np.lexsort((place, pos - place, item))
+    item, place, pos, row, which = (x[order] for x in (item, place, pos, row, which))
+    many = np.zeros(len(tests.items), bool)
+    many[item[(times[which] > 1) | (tests.times[row] > 1)]] = True
+    found = []
+    single = ~many[item]
+    item_1, place_1, pos_1 = item[single], place[single], pos[single]
+    if len(item_1):
+        new = (np.diff(item_1) != 0) | (np.diff(pos_1 - place_1) != 0) | (np.diff(place_1) != 1)
+        start = np.concatenate([[0], np.flatnonzero(new) + 1])
+        length = np.diff(np.append(start, len(item_1)))
+        best = np.lexsort((pos_1[start], place_1[start], -length, item_1[start]))
+        best = best[np.concatenate([[True], np.diff(item_1[start][best]) != 0])]
+        found += zip(item_1[start[best]].tolist(), place_1[start[best]].tolist(), pos_1[start[best]].tolist(), length[best].tolist(), strict=True)
+    for i in np.flatnonzero(many).tolist():
+        theirs = tests.windows(i)
+        on = np.isin(window, theirs)
+        gaps = np.flatnonzero(np.diff(at[on]) != 1) + 1  # a run does not go over a gap
+        place_a = np.insert(at[on], gaps, -1)
+        a, b, length = longest_run(np.insert(window[on], gaps, -1), theirs)
+        found.append((i, b, int(place_a[a]), length))
+    size = lambda i: int(tests.size[tests.window_of[tests.edges[i]]])
+    return [{"item_id": tests.items[i], "item_word": p, "doc_word": d, "n_words": n + size(i) - 1} for i, p, d, n in sorted(found)]
 
 
 def _search(texts_: list[bytes], tests: TestSuffixes) -> list[tuple[int, np.ndarray, list[dict]]]:
     """Per document: number of words, hit words, longest matches."""
     arrays = [tests.ids(t) for t in texts_]
     sizes = np.array([len(a) for a in arrays], np.int64)
-    starts = np.concatenate([[0], np.cumsum(sizes + 1)])[:-1]
+    starts = np.concatenate([[0], np.cumsum(sizes + 1)])
     zero = np.zeros(1, np.int32)
     shard = np.concatenate([x for a in arrays for x in (a, zero)]) if arrays else zero[:0]
-    which, at = occurrences(shard, tests)
-    doc = np.searchsorted(starts, at, "right") - 1
+    window, at = occurrences(shard, tests)
     hits = np.zeros(len(shard) + 1, np.int32)
     np.add.at(hits, at, 1)
-    np.add.at(hits, at + tests.size[which], -1)
+    np.add.at(hits, at + tests.size[window], -1)
     hit = np.cumsum(hits)[:-1] > 0
-    # Runs of windows at one distance between document and item are one longest match.
-    item, place = tests.item[which], tests.place[which]
-    order = np.lexsort((place, at - place, item, doc))
-    doc, item, place, at, size = doc[order], item[order], place[order], at[order], tests.size[which][order]
-    matches: list[list[dict]] = [[] for _ in arrays]
-    if len(at):
-        joins = (doc[1:] == doc[:-1]) & (item[1:] == item[:-1]) & (at[1:] - place[1:] == at[:-1] - place[:-1]) & (place[1:] == place[:-1] + 1)
-        first = np.flatnonzero(np.concatenate([[True], ~joins]))
-        last = np.append(first[1:], len(at)) - 1
-        for f, z in zip(first.tolist(), last.tolist(), strict=True):
-            matches[doc[f]].append({"item_id": tests.items[item[f]], "item_word": int(place[f]), "doc_word": int(at[f] - starts[doc[f]]), "n_words": int(place[z] + size[z] - place[f])})
-    return [(int(n), hit[s : s + n], m) for n, s, m in zip(sizes, starts, matches, strict=True)]
+    cuts = np.searchsorted(at, starts)
+    out = []
+    for n, s, a, z in zip(sizes.tolist(), starts.tolist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=False):
+        out.append((n, hit[s : s + n], _longest_matches(window[a:z], at[a:z] - s, tests) if z > a else []))
+    return out
 
 
 def _blocks(benchmark: DataFrame, block_bytes: int, item_col: str) -> Iterator[list[tuple[str, bytes]]]:
@@ -174,9 +262,9 @@ def _blocks(benchmark: DataFrame, block_bytes: int, item_col: str) -> Iterator[l
         yield [(r["_item"], r["text"].encode()) for r in part.collect()]
 
 
-def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = 13, item_col: str = "item_id", shard_words: int = 1_000_000, block_bytes: int = 16 << 20) -> DataFrame:
+def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = 13, item_col: str = "item_id", shard_words: int = 1_000_000, block_bytes: int = 4 << 20) -> DataFrame:
     """`docs` with `n_words`, `n_hit`, `hits` (a bitmap over words) and `matches` (the longest
-    verbatim matches and their places); of `docs` only `text` is looked at."""
+    verbatim match with each item, and its places); of `docs` only `text` is looked at."""
     spark = docs.sparkSession
     first = docs.select("*", F.lit(0).cast("bigint").alias("n_words"), F.lit(0).cast("bigint").alias("n_hit"), F.lit(None).cast("binary").alias("hits"), F.array().cast(MATCHES).alias("matches"))
     found = first

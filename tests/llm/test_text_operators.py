@@ -173,6 +173,47 @@ def test_decontamination_matches_brute_force(llm, docs, rows):
     assert Counter(r["doc_id"] for r in clean.collect()) == Counter({k[0]: 0 for k in want}) + Counter(k[0] for k, n in want.items() for _ in range(n) if not k[4])
 
 
+def longest_common(w, v):
+    """(length, first place in v, first place in w) of the longest common run of words."""
+    best = (0, 0, 0)
+    for j in range(len(v)):
+        for i in range(len(w)):
+            n = 0
+            while i + n < len(w) and j + n < len(v) and w[i + n] == v[j + n]:
+                n += 1
+            best = max(best, (n, -j, -i))
+    return best[0], -best[1], -best[2]
+
+
+@pytest.mark.parametrize("array", [3, 1 << 20])
+def test_longest_matches_equal_brute_force(monkeypatch, array):
+    monkeypatch.setattr(decontam, "ARRAY", array)
+    rng = random.Random(5)
+    for turn in range(200):
+        kinds, window = rng.choice([1, 2, 3, 40]), rng.choice([2, 3, 5])
+        some = lambda most: [f"w{rng.randrange(kinds)}" for _ in range(rng.randint(0, most))]  # noqa: E731, B023
+        items = [some(20) for _ in range(rng.randint(1, 5))]
+        texts = [some(30) for _ in range(3)] + [some(5) + items[0] + ["zz"] + items[-1]]
+        tests = decontam.TestSuffixes([(str(i), " ".join(v).encode()) for i, v in enumerate(items)], window)
+        got = decontam._search([" ".join(w).encode() for w in texts], tests)
+        for w, (n, _, matches) in zip(texts, got, strict=True):
+            want = [(str(i), *longest_common(w, v)) for i, v in enumerate(items) if v]
+            want = [x for x in want if x[1] >= min(window, len(items[int(x[0])]))]
+            assert n == len(w)
+            assert [(m["item_id"], m["n_words"], m["item_word"], m["doc_word"]) for m in matches] == want
+
+
+def test_one_word_a_hundred_thousand_times(llm):
+    text = "again " * 100_000
+    bench = llm.createDataFrame([(1, text), (2, "Again, again"), (3, "once " + text)], "item_id long, text string")
+    docs = llm.createDataFrame([(1, text), (2, text + "once more"), (3, "once")], "doc_id long, text string")
+    got = {g["doc_id"]: g for g in decontam.judged(decontam.find_matches(docs, bench)).collect()}
+    assert [(got[i]["n_words"], got[i]["n_hit"], got[i]["items"]) for i in (1, 2, 3)] == [
+        (100_000, 100_000, ["1", "2", "3"]), (100_002, 100_000, ["1", "2", "3"]), (1, 0, [])
+    ]
+    assert [tuple(m) for m in got[2]["matches"]] == [("1", 0, 0, 100_000), ("2", 0, 0, 2), ("3", 1, 0, 100_000)]
+
+
 def test_empty_tables(llm, no_docs, docs, rows):
     assert suffix_dedup.digest(no_docs).count() == 0
     assert line_dedup.digest(no_docs).count() == 0
