@@ -8,8 +8,9 @@
 2. Documents of a source queue in a shuffled order (a seeded hash of the row) and wrap
    around for further epochs. A document's virtual finish time is the source's tokens up to
    and including it, divided by the target. Running sums are two-level: the hash order is
-   cut into buckets, bucket totals are summed per source, and rows are summed within a
-   bucket, so a source holding a third of all rows spreads over many tasks.
+   cut into ranges, range totals are summed per source, and rows are summed within a
+   range, so a source holding a third of all rows spreads over many tasks. How many ranges
+   there are does not change the order, and so not the mix.
    As a link sends packets, a document is queued in pieces of at most `packet` words, each
    with its own finish time, so that one very long document at the cut cannot leave its
    source far from the target.
@@ -27,7 +28,7 @@ queue separately and share equally what their group takes.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dockwise.llm.common import KEY, running_offsets, stage, with_row_key
@@ -40,7 +41,14 @@ def sized(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Id, source, size in words and row key of every document."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
     keyed = with_row_key(docs.select(F.col(id_col).alias("_id"), F.col("source").cast("string").alias("source"), "text"), "_id", "source", "text")
-    return keyed.select("_id", "source", *KEY, size.alias("size"))
+    return keyed.select("_id", "source", *KEY, size.alias("size"), _place().alias("_o"))
+
+
+def _place() -> Column:
+    """The row's place in its source's queue: the first 60 bits of a seeded digest of the row."""
+    parts = [F.lit(SEED), F.coalesce(F.col("_id").cast("string"), F.lit("")), F.coalesce("source", F.lit(""))]
+    digest = F.md5(F.concat_ws(":", *parts, F.md5(F.coalesce("text", F.lit("")).cast("binary"))).cast("binary"))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), budget_share: float = 1.5, repeat: int = 2) -> DataFrame:
@@ -88,10 +96,9 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), budget_share: flo
     facts = F.broadcast(targets) if n_sources <= 100_000 else targets
     facts = facts.withColumnRenamed("source", "_s")
     buckets = max(256, n_rows // bucket_rows)
-    order = F.xxhash64(F.lit(SEED), *KEY)
-    queued = sizes.join(facts, F.col("source").eqNullSafe(F.col("_s"))).drop("_s").select(
-        "*", order.alias("_o"), F.pmod(F.shiftrightunsigned(order, 16), F.lit(buckets)).alias("_b")
-    )
+    # Ranges of the 60-bit places, in their order.
+    bucket = F.shiftright(F.shiftright("_o", 30) * F.lit(buckets).cast("bigint"), 30)
+    queued = sizes.join(facts, F.col("source").eqNullSafe(F.col("_s"))).drop("_s").withColumn("_b", bucket)
     within = Window.partitionBy("source", "_b").orderBy("_o", "_id", *KEY).rowsBetween(Window.unboundedPreceding, 0)
     in_bucket = stage(queued.withColumn("_within", F.sum("size").over(within)), "mix-queue")
     offsets = running_offsets(in_bucket.groupBy("source", "_b").agg(F.sum("size").alias("_t")), ["_b"], "_t", ["source"])

@@ -100,6 +100,45 @@ SELECT dw.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)"""
 
+_OP9 = r"""
+WITH d AS (
+  SELECT doc_id, source, text, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(source, '') || ':' || md5(coalesce(text, '')))[1:15] AS o
+  FROM documents),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         CAST([3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS DOUBLE) AS weight
+  FROM d GROUP BY source),
+sums AS (
+  SELECT *, CAST(sum(source_size) OVER () AS DOUBLE) * CAST(1.5 AS DOUBLE) AS budget,
+         CAST(coalesce(sum(source_size) OVER earlier, 0) AS DOUBLE) * 2 AS capped,
+         sum(weight) OVER () - coalesce(sum(weight) OVER earlier, 0) AS open
+  FROM s WINDOW earlier AS (ORDER BY source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+levels AS (SELECT *, (budget - capped) / open AS level FROM sums),
+t AS (
+  SELECT source, source_size,
+         least(CAST(source_size AS DOUBLE) * 2,
+               coalesce(max(CASE WHEN level * weight <= CAST(source_size AS DOUBLE) * 2 THEN level END) OVER (), CAST('inf' AS DOUBLE)) * weight) AS target
+  FROM levels),
+queue AS (
+  SELECT d.*, source_size, target,
+         CAST(sum(size) OVER (PARTITION BY d.source ORDER BY o, doc_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS ended
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+pieces AS (
+  SELECT *, unnest(generate_series(0, size - 1, 256)) AS start FROM (SELECT *, unnest([0, 1]) AS epoch FROM queue WHERE size > 0)),
+timed AS (
+  SELECT doc_id, source, text, least(start + 256, size) - start AS w,
+         CAST(epoch * source_size + ended - size + least(start + 256, size) AS DOUBLE) / target AS finish
+  FROM pieces),
+line AS (SELECT *, sum(w) OVER (ORDER BY finish, source NULLS FIRST, doc_id ROWS UNBOUNDED PRECEDING) AS total FROM timed),
+taken AS (
+  SELECT doc_id, source, text, sum(w) AS w FROM line
+  WHERE CAST(total AS DOUBLE) <= (SELECT coalesce(sum(target), 0) FROM t) GROUP BY ALL)
+SELECT q.doc_id, q.size, q.source_size, q.target,
+       CAST(floor(coalesce(k.w, 0) / count(*) OVER (PARTITION BY q.doc_id, q.source, q.text)) AS BIGINT) AS taken
+FROM queue q LEFT JOIN taken k
+  ON q.doc_id IS NOT DISTINCT FROM k.doc_id AND q.source IS NOT DISTINCT FROM k.source AND q.text IS NOT DISTINCT FROM k.text"""
+
 _OP10 = """
 WITH RECURSIVE usable AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
@@ -203,6 +242,7 @@ ORACLE_SQL: dict[str, str] = {
     "op5_warc": _OP5,
     "op7_line_dedup": _OP7,
     "op8_decontam": _OP8,
+    "op9_mixing": _OP9,
     "op10_embed_dedup": _OP10,
     "op11_conversation_repair": _OP11,
     "op13_fill_middle": _OP13,

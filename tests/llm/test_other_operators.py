@@ -384,6 +384,34 @@ def test_mix_meets_its_targets(docs, rows):
     assert mixed.columns == docs.columns and max(Counter(r["doc_id"] for r in mixed.collect() if r["doc_id"] not in (27, 42, None)).values()) <= 2
 
 
+@pytest.mark.parametrize(("packet", "bucket_rows"), [(8, 2000), (256, 1)])
+def test_what_the_mix_takes_equals_a_plain_queue(docs, rows, packet, bucket_rows):
+    size = lambda t: len(re.findall("[^\x20\x09-\x0d]+", t or ""))
+    digest = lambda t: hashlib.md5(t.encode()).hexdigest()
+    sizes = Counter()
+    for r in rows:
+        sizes[r[3]] += size(r[1])
+    target = filled(sizes, (3, 1, 2))
+    served = []
+    for source in sizes:
+        queue = [(digest(f"{mixing.SEED}:{'' if r[0] is None else r[0]}:{source or ''}:{digest(r[1] or '')}"), r) for r in rows if r[3] == source]
+        at = 0
+        for _, r in sorted(queue, key=lambda q: q[0]) * 2:
+            for start in range(0, size(r[1]), packet):
+                n = min(packet, size(r[1]) - start)
+                at += n
+                served.append((at / target[source], source is not None, source or "", n, (r[0], source, r[1])))
+    budget, taken, total = sum(target.values()), Counter(), 0
+    for _, _, _, n, row in sorted(served, key=lambda x: x[:3]):
+        total += n
+        if total <= budget:
+            taken[row] += n
+    repeats = Counter((r[0], r[3], r[1]) for r in rows)
+    want = Counter((r[0], r[3], size(r[1]), taken[r[0], r[3], r[1]] // repeats[r[0], r[3], r[1]]) for r in rows)
+    got = mixing.mix(docs, packet=packet, bucket_rows=bucket_rows).collect()
+    assert Counter((g["_id"], g["source"], g["size"], g["taken"]) for g in got) == want
+
+
 def test_mix_of_nothing(no_docs, llm):
     assert mixing.digest(no_docs).count() == 0
     blank = llm.createDataFrame([(1, " ", "a"), (2, None, None)], "doc_id long, text string, source string")
