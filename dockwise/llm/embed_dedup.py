@@ -6,10 +6,12 @@ centred at the other; the window is twice the distance of the threshold, so a pa
 threshold collides with probability 0.954, and `NEED` of `SKETCH` collisions keep 99.99 % of
 such pairs, nearly all closer ones, and about one in a thousand unrelated ones.
 
-Windows over all vectors would meet a fixed share of all pairs, so pairs are first sought in
-cells: each of many tables sorts vectors into the cells of a randomly shifted grid over a few
-further projections and counts collisions for all pairs of a cell. The number of tables follows from the chance of sharing a cell at
-the threshold, for `recall`; the number of grid projections grows with the logarithm of the
+Windows over all vectors would meet a fixed share of all pairs, so projections are sorted
+within cells: each of many tables deals vectors into the cells of a randomly shifted grid over
+a few further projections. In every cell each of the `SKETCH` projections is sorted, a window
+is opened around every entry, and each pair found in it gets one more count; no single
+projection can rule a pair out. The number of tables follows from the chance of sharing a cell
+at the threshold, for `recall`; the number of grid projections grows with the logarithm of the
 number of vectors, so that cells stay small. Cells over `CELL` entries are cut into pairs of
 blocks that separate tasks compare. Pairs passing the count are verified by exact cosine.
 
@@ -42,6 +44,7 @@ SKETCH, NEED, SCALE = 32, 24, 32
 WIDTH = 1.6  # of grid cells, in standard deviations of a unit vector's projection
 LEADER_TABLES, LEADER_GRID = 12, 8
 CELL = 4096
+COUNTERS, PAIRS = 1 << 22, 500_000  # held at a time by a task
 SEED = 20260101
 
 
@@ -189,37 +192,44 @@ def balls(prep: DataFrame, angle: float) -> DataFrame:
 
 
 def _collisions(threshold_angle: float):
-    """Pairs of entries of one cell whose sketches collide often enough."""
-    allowed = SKETCH - NEED
+    """Pairs of entries of one cell that collide in enough projections."""
 
     def windows(r: np.ndarray) -> np.ndarray:
         distance = 2 * np.sin(np.minimum(threshold_angle + r, math.pi) / 2)
-        return np.ceil(2 * distance * SCALE).astype(np.int16) + 1
-
-    def group(ball: np.ndarray, sketch: np.ndarray, r: np.ndarray, side: np.ndarray, cross: bool) -> np.ndarray:
-        # All pairs are counted, so that no single projection can rule one out.
-        order = np.argsort(side, kind="stable")
-        ball, sketch, r, side = ball[order], sketch[order].T.astype(np.int16, order="C"), r[order], side[order]
-        if cross:  # the entries of one side with those of the other
-            start = np.where(side == side[0], np.count_nonzero(side == side[0]), len(ball))
-        else:
-            start = np.arange(1, len(ball) + 1)
-        count = len(ball) - start
-        found = []
-        edges = np.unique(np.searchsorted(np.cumsum(count), np.arange(0, count.sum() + 1, 500_000)))
-        for a, b in zip(edges, np.append(edges[1:], len(ball)), strict=True):
-            n = count[a:b]
-            i = np.repeat(np.arange(a, b), n)
-            j = np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n) + start[i]
-            limit, misses = windows(r[i] + r[j]), np.zeros(len(i), np.int8)
-            for step in range(0, SKETCH, 4):
-                for m in range(step, step + 4):
-                    misses += np.abs(sketch[m, i] - sketch[m, j]) > limit
-                on = misses <= allowed
-                i, j, limit, misses = i[on], j[on], limit[on], misses[on]
-            x, y = ball[i], ball[j]
-            found.append(np.stack([np.minimum(x, y), np.maximum(x, y)])[:, x != y])
-        return np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
+        return np.ceil(2 * distance * SCALE).astype(np.int64) + 1
+
+    def count(cell: np.ndarray, ball: np.ndarray, sketch: np.ndarray, r: np.ndarray, side: np.ndarray, cross: np.ndarray) -> np.ndarray:
+        """Candidates among entries that are grouped by `cell` (0, 1, ...); `cross` tells, per
+        entry, that the cell's pairs are those of one side with the other."""
+        sizes = np.bincount(cell)
+        first = np.cumsum(sizes) - sizes
+        base = np.concatenate([[0], np.cumsum(sizes * sizes)])  # a counter for each pair of a cell
+        row = base[cell] + (np.arange(len(cell)) - first[cell]) * sizes[cell] - first[cell]
+        counters = np.zeros(base[-1], np.uint8)
+        widest = np.maximum.reduceat(r, first)
+        reach, plain = windows(r + widest[cell]), not widest.any()
+        for m in range(SKETCH):
+            # One sort for all cells: they lie further apart than any window reaches.
+            value = cell * 4096 + sketch[:, m]
+            order = np.argsort(value, kind="stable")
+            along = value[order]
+            # Windows are symmetric: the half above each entry has every pair once.
+            n = np.searchsorted(along, along + reach[order], "right") - np.arange(len(along)) - 1
+            cuts = np.unique(np.searchsorted(np.cumsum(n), np.arange(0, n.sum() + 1, PAIRS)))
+            for a, b in zip(cuts, np.append(cuts[1:], len(n)), strict=True):
+                i = np.repeat(np.arange(a, b), n[a:b])
+                j = np.arange(len(i)) - np.repeat(np.cumsum(n[a:b]) - n[a:b], n[a:b]) + i + 1
+                x, y = order[i], order[j]
+                if not plain:  # balls: the window of this very pair
+                    on = along[j] - along[i] <= windows(r[x] + r[y])
+                    x, y = x[on], y[on]
+                counters[row[np.minimum(x, y)] + np.maximum(x, y)] += 1
+        slot = np.flatnonzero(counters >= NEED)
+        at = np.searchsorted(base, slot, "right") - 1
+        x, y = (part + first[at] for part in np.divmod(slot - base[at], sizes[at]))
+        on = (ball[x] != ball[y]) & ~(cross[x] & (side[x] == side[y]))
+        x, y = ball[x[on]], ball[y[on]]
+        return np.stack([np.minimum(x, y), np.maximum(x, y)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["t", "cell", "lo", "hi"]
@@ -228,11 +238,18 @@ def _collisions(threshold_angle: float):
         def pairs(table: pa.Table) -> Iterator[pa.RecordBatch]:
             keys = np.stack([table.column(c).to_numpy() for c in names])
             edges = np.concatenate([[0], np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1, [table.num_rows]])
+            sizes = np.diff(edges)
+            cell = np.repeat(np.arange(len(sizes)), sizes)
             ball, r, side = (table.column(c).to_numpy() for c in ("ball", "r", "side"))
+            cross = keys[2] != keys[3]
             sketch = _matrix(table.column("sketch").combine_chunks(), np.int8)
-            out = [group(ball[a:b], sketch[a:b], r[a:b], side[a:b], keys[2, a] != keys[3, a]) for a, b in zip(edges[:-1], edges[1:], strict=True) if b - a > 1]
-            if out:
-                got = np.unique(np.concatenate(out, axis=1), axis=1)
+            # Cells are counted together as long as they have few counters.
+            share = (np.cumsum(sizes * sizes) - 1) // COUNTERS
+            of_row = np.where(sizes > 1, share, -1)[cell]
+            for part in np.unique(share[sizes > 1]):
+                on = np.flatnonzero(of_row == part)
+                _, numbered = np.unique(cell[on], return_inverse=True)
+                got = np.unique(count(numbered, ball[on], sketch[on], r[on], side[on], cross[on]), axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(got[0]), pa.array(got[1])], ["a", "b"])
 
         for batch in batches:
