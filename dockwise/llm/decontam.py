@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockwise.llm.common import texts
+from dockwise.llm.common import texts, tidy
 
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 # UTF-8 bytes of the word characters: digits, a-z, and every byte of a non-ASCII code point.
@@ -290,7 +290,7 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = 13, item_c
                     columns["matches"] = pa.array(matches, part.schema.field("matches").type)
                     yield pa.RecordBatch.from_arrays(list(columns.values()), schema=part.schema)
 
-        found = found.mapInArrow(run, schema)
+        found = found.mapInArrow(tidy(run), schema)
     return found
 
 

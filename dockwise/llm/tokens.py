@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
-from dockwise.llm.common import filesystem, running_offsets, shared_folder, stage, texts
+from dockwise.llm.common import filesystem, running_offsets, shared_folder, stage, texts, tidy
 
 MAGIC = b"DWTOK001"
 FOOTER = "<QQ8s"
@@ -51,7 +51,7 @@ LATIN_END = "ɐ"
 class WordIds(dict):
     """Serialized ids of a chunk of text without spaces; two generations of `limit` entries."""
 
-    def __init__(self, tokenizer_json: str, limit: int = 600_000) -> None:
+    def __init__(self, tokenizer_json: str, limit: int) -> None:
         super().__init__()
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.model, self.normalizer = self.tokenizer.model, self.tokenizer.normalizer
@@ -95,13 +95,15 @@ class WordIds(dict):
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" "))) + end
 
 
+CACHE = 600_000
 _ENCODERS: dict[str, WordIds] = {}  # one per worker process and tokenizer
 
 
-def _encoder(tokenizer_json: str) -> WordIds:
+def _encoder(tokenizer_json: str, limit: int = CACHE) -> WordIds:
     name = hashlib.sha256(tokenizer_json.encode()).hexdigest()
     if name not in _ENCODERS:
-        _ENCODERS[name] = WordIds(tokenizer_json)
+        _ENCODERS[name] = WordIds(tokenizer_json, limit)
+    _ENCODERS[name].limit = limit
     return _ENCODERS[name]
 
 
@@ -112,7 +114,7 @@ def _check(tokenizer_json: str) -> None:
         raise ValueError("word-wise encoding needs a tokenizer that lower-cases, drops white space and marks word ends")
 
 
-def train_dictionary(docs: DataFrame, tokenizer_json, end: bytes, sample_docs: int = 1000, dict_bytes: int = 64 << 10, sample_bytes: int = 4 << 20) -> bytes:
+def train_dictionary(docs: DataFrame, tokenizer_json, end: bytes, sample_docs: int = 1000, dict_bytes: int = 64 << 10, sample_bytes: int = 4 << 20, cache: int = CACHE) -> bytes:
     """A zstandard dictionary from the ids of at most `sample_docs` documents.
 
     The sample is those with the smallest hash of their id. At most `sample_bytes` of ids
@@ -121,7 +123,7 @@ def train_dictionary(docs: DataFrame, tokenizer_json, end: bytes, sample_docs: i
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = _encoder(tokenizer_json.value)
+        ids = _encoder(tokenizer_json.value, cache)
         for batch in batches:
             out = [ids.text(t.decode(), end)[: sample_bytes // sample_docs] for t in texts(batch)]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["ids"])
@@ -141,8 +143,11 @@ def _dictionary(raw: bytes) -> zstandard.ZstdCompressionDict | None:
     return zstandard.ZstdCompressionDict(raw) if raw else None
 
 
-def write_shards(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 1, id_col: str = "doc_id") -> DataFrame:
-    """Write `docs` below `folder`; one row per shard: `(shard, path, docs, tokens)`."""
+def write_shards(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 1, id_col: str = "doc_id", cache: int = CACHE) -> DataFrame:
+    """Write `docs` below `folder`; one row per shard: `(shard, path, docs, tokens)`.
+
+    A worker remembers the ids of at most twice `cache` words, each taking about 200 bytes.
+    """
     spark = docs.sparkSession
     with open(tokenizer_path, encoding="utf-8") as f:
         text = f.read()
@@ -150,7 +155,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
     tokenizer_json = spark.sparkContext.broadcast(text)
     end = np.array([end_id], "<u4").tobytes()
     rows = docs.select(F.col(id_col).cast("bigint").alias("_id"), "text").withColumn("_h", F.xxhash64("text"))
-    raw = train_dictionary(rows, tokenizer_json, end)
+    raw = train_dictionary(rows, tokenizer_json, end, cache=cache)
     files, base = filesystem(folder)
     files.create_dir(base, recursive=True)
     with files.open_output_stream(f"{base}/{hashlib.sha256(raw).hexdigest()}.dict", compression=None) as out:
@@ -159,7 +164,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, base = filesystem(folder)
-        context, ids_of = TaskContext.get(), _encoder(tokenizer_json.value)
+        context, ids_of = TaskContext.get(), _encoder(tokenizer_json.value, cache)
         shard = context.partitionId()
         final, draft = f"{base}/shard-{shard:06d}{EXTENSION}", f"{base}/_draft-{context.taskAttemptId()}"
         packer = zstandard.ZstdCompressor(level=3, dict_data=_dictionary(dictionary.value), write_dict_id=False)
@@ -186,7 +191,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
 
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.repartitionByRange(n, "_id", "_h").sortWithinPartitions("_id", "_h")
-    return stage(ordered.select("_id", "text").mapInArrow(run, "shard long, path string, docs long, tokens long"), "token-manifest")
+    return stage(ordered.select("_id", "text").mapInArrow(tidy(run), "shard long, path string, docs long, tokens long"), "token-manifest")
 
 
 class Shard:
@@ -265,7 +270,7 @@ def checksums(manifest: DataFrame) -> DataFrame:
     return _read(manifest, "ids_crc32", "long", zlib.crc32, pa.int64())
 
 
-def round_trip(spark: SparkSession, docs: DataFrame, tokenizer_path: str, end_id: int = 1) -> DataFrame:
+def round_trip(spark: SparkSession, docs: DataFrame, tokenizer_path: str, end_id: int = 1, cache: int = CACHE) -> DataFrame:
     """The registered query: write the shards, read them back."""
-    manifest = write_shards(docs, shared_folder(spark, "tokens"), tokenizer_path, end_id)
+    manifest = write_shards(docs, shared_folder(spark, "tokens"), tokenizer_path, end_id, cache=cache)
     return checksums(manifest)
