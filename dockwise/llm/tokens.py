@@ -107,6 +107,11 @@ def _encoder(tokenizer_json: str, limit: int = CACHE) -> WordIds:
     return _ENCODERS[name]
 
 
+def _forget() -> None:
+    """Drop this worker's caches."""
+    _ENCODERS.clear()
+
+
 def _check(tokenizer_json: str) -> None:
     spec = json.loads(tokenizer_json)
     steps = json.dumps([spec["normalizer"], spec["pre_tokenizer"]])
@@ -232,10 +237,13 @@ def open_shard(path: str) -> Shard:
         return Shard(source, d.read())
 
 
-def _read(manifest: DataFrame, column: str, kind: str, of, to_arrow: pa.DataType) -> DataFrame:
-    """Every document of the shards, with `of` its serialized ids as `column`."""
+def _read(manifest: DataFrame, column: str, kind: str, of, to_arrow: pa.DataType, forget: bool = False) -> DataFrame:
+    """Every document of the shards, with `of` its serialized ids as `column`; `forget` drops the
+    word caches of the workers that read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if forget:
+            _forget()
         for batch in batches:
             for path, before in zip(batch.column("path").to_pylist(), batch.column("before").to_pylist(), strict=True):
                 shard = open_shard(path)
@@ -257,7 +265,7 @@ def _read(manifest: DataFrame, column: str, kind: str, of, to_arrow: pa.DataType
     spark = manifest.sparkSession
     placed = running_offsets(manifest.select("shard", "path", "tokens"), ["shard"], "tokens")
     tasks = placed.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "shard")
-    return tasks.select("path", "before").mapInArrow(run, f"doc_id long, start long, n_tokens long, {column} {kind}")
+    return tasks.select("path", "before").mapInArrow(tidy(run), f"doc_id long, start long, n_tokens long, {column} {kind}")
 
 
 def read_shards(manifest: DataFrame) -> DataFrame:
@@ -265,12 +273,12 @@ def read_shards(manifest: DataFrame) -> DataFrame:
     return _read(manifest, "ids", "binary", lambda ids: ids, pa.binary())
 
 
-def checksums(manifest: DataFrame) -> DataFrame:
+def checksums(manifest: DataFrame, forget: bool = False) -> DataFrame:
     """`doc_id, start, n_tokens, ids_crc32` of every document."""
-    return _read(manifest, "ids_crc32", "long", zlib.crc32, pa.int64())
+    return _read(manifest, "ids_crc32", "long", zlib.crc32, pa.int64(), forget)
 
 
-def round_trip(spark: SparkSession, docs: DataFrame, tokenizer_path: str, end_id: int = 1, cache: int = CACHE) -> DataFrame:
+def round_trip(spark: SparkSession, docs: DataFrame, tokenizer_path: str, end_id: int = 1, cache: int = CACHE, forget: bool = False) -> DataFrame:
     """The registered query: write the shards, read them back."""
     manifest = write_shards(docs, shared_folder(spark, "tokens"), tokenizer_path, end_id, cache=cache)
-    return checksums(manifest)
+    return checksums(manifest, forget)
