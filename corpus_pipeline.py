@@ -54,8 +54,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token shards; `doc_id, start, n_tokens, ids_crc32` of every document in them."""
     ship_package(spark)
-    # Half the word cache: workers of a pipeline also hold what earlier stages left.
-    return tokens.round_trip(spark, docs, TOKENIZER, cache=tokens.CACHE // 2)
+    # A small word cache, dropped at the end: executors of a pipeline serve other stages too.
+    return tokens.round_trip(spark, docs, TOKENIZER, cache=tokens.CACHE // 4, forget=True)
 
 
 STAGES: list[tuple[str, Stage]] = [
