@@ -196,7 +196,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
 
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.repartitionByRange(n, "_id", "_h").sortWithinPartitions("_id", "_h")
-    return stage(ordered.select("_id", "text").mapInArrow(tidy(run), "shard long, path string, docs long, tokens long"), "token-manifest")
+    return stage(ordered.select("_id", "text").mapInArrow(run, "shard long, path string, docs long, tokens long"), "token-manifest")
 
 
 class Shard:
@@ -265,7 +265,7 @@ def _read(manifest: DataFrame, column: str, kind: str, of, to_arrow: pa.DataType
     spark = manifest.sparkSession
     placed = running_offsets(manifest.select("shard", "path", "tokens"), ["shard"], "tokens")
     tasks = placed.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "shard")
-    return tasks.select("path", "before").mapInArrow(tidy(run), f"doc_id long, start long, n_tokens long, {column} {kind}")
+    return tasks.select("path", "before").mapInArrow(tidy(run) if forget else run, f"doc_id long, start long, n_tokens long, {column} {kind}")
 
 
 def read_shards(manifest: DataFrame) -> DataFrame:
