@@ -287,6 +287,19 @@ def test_bitmaps_of_nothing(spark):
     assert maps.collect() == [] and HB.never(maps, "empty").collect() == [] and HB.hours_where(maps, "1990-01-01T00:00:00").collect() == []
 
 
+def test_bitmaps_of_many_stations_take_rows_of_longs(spark):
+    """A station seen once costs one narrow row, hashed: no bitmap of years per station, task and condition."""
+    data = [(f"2000-01-0{1 + i % 3}T{i % 24:02d}:00:00", f"s{i % 2000}", 1, 1, 4, 1, 0, i % 5) for i in range(4000)]
+    snap = spark.createDataFrame(data, ", ".join(f"{c} {'string' if c in ('_id', 'name') else 'long'}" for c in SNAPSHOT_REPORT_COLUMNS))
+    maps = HB.hour_bitmaps(snap)
+    assert {t for n, t in maps.dtypes if n != "name"} == {"bigint"} and maps.count() <= len(data)
+    assert rows(HB.hour_bitmaps(snap, partitions=5)) == rows(maps)
+    for made in (maps, HB.hours_where(maps, "2000-01-01T05:00:00", "2000-01-02T23:00:00")):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan and "Sort [" not in plan
+    assert HB.hours_where(maps, "2000-01-03T05:00:00", "2000-01-03T05:00:00").agg(F.sum("seen")).first()[0] == len({r[1] for r in data if r[0] == "2000-01-03T05:00:00"}) > 0
+
+
 # ---------------------------------------------------------------- pages
 
 
