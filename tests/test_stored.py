@@ -52,6 +52,19 @@ def test_staged_file_is_read_by_byte_ranges(spark):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_long_feeds_are_compressed_in_files_of_bounded_length(spark, tmp_path, monkeypatch):
+    lines = derived.faulty_trip_lines(derived.load_lineitem(spark, SF_SMALL))
+    n = lines.count()
+    monkeypatch.setattr(staged_lines, "PLAIN_LINES", n - 1)
+    monkeypatch.setattr(staged_lines, "LINES_PER_FILE", 1000)
+    path = tmp_path / "lines"
+    staged_lines.write_lines(lines, str(path), n)
+    files = list(path.glob("part-*.txt.gz"))
+    assert len(files) >= n // 1000 and all(spark.read.text(str(f)).count() <= 1000 for f in files)
+    assert rows(spark.read.text(str(path))) == rows(lines)
+    assert sum(f.stat().st_size for f in files) * 4 < lines.agg(F.sum(F.octet_length("value") + 1)).first()[0]
+
+
 # ---------------------------------------------------------------- quarantine
 
 GOOD = '{"user_type":1,"user_day_code":"a","idunplug_station":2,"idplug_station":3,"travel_time":60,"unplug_hourTime":"2021-06-19T08:00:00Z"}'
