@@ -248,6 +248,36 @@ def test_texts_over_the_sample_bound_do_not_end_it(llm):
     assert all(0 <= x <= 1 for x in few.scores(toxicity.Hasher(), [b"", b"a vile rotten thing"]))
 
 
+def test_every_labelled_text_trains_whole(llm):
+    """Words that only texts beyond any bound have are learned, in several parts and blocks."""
+    rng = random.Random(12)
+    data = [(i, H.prose(rng, 30) + (" vile rotten" if i % 4 == 0 else "")) for i in range(400)]
+    long = [(i, H.prose(rng, 3000) + (" hideous" if i % 2 else "")) for i in range(1000, 1120)]
+    docs = llm.createDataFrame(data + long, "doc_id long, text string")
+    labels = llm.createDataFrame([(i, int(i % 4 == 0)) for i, _ in data] + [(i, i % 2) for i, _ in long], "doc_id long, toxic int")
+    path = toxicity.fit(docs, labels, sample_bytes=4000, part_bytes=200_000)
+    model = toxicity.load(path)
+    row = toxicity.buckets(toxicity.Hasher(), [b"hideous"])[0][0]
+    assert all(model.embed[t][row[t], 0] > 0.5 for t in range(toxicity.TABLES))
+    got = model.scores(toxicity.Hasher(), [b"a vile rotten thing", b"a hideous thing", b"abc def ghi"])
+    assert min(got[:2]) >= 0.3 > got[2]
+    again = toxicity.load(toxicity.fit(docs.repartition(3), labels, sample_bytes=4000, part_bytes=200_000))
+    assert np.array_equal(model.embed, again.embed) and model.levels == again.levels
+
+
+def test_long_texts_descend_in_chunks(monkeypatch):
+    rng = random.Random(4)
+    data = [toxicity.buckets(toxicity.Hasher(), [H.prose(rng, n).encode()])[0] for n in (300, 5, 900, 40)]
+    found = []
+    for chunk in (100_000, 50):
+        monkeypatch.setattr(toxicity, "CHUNK", chunk)
+        model = toxicity.Model(0.5)
+        model.embed[:, :-1] = np.random.default_rng(1).normal(size=model.embed[:, :-1].shape)
+        toxicity.Descent(model).run(data, np.array([1, 0, 1, 0], np.float32), 2)
+        found.append((model.embed, model.out))
+    assert all(np.allclose(a, b, atol=1e-4) for a, b in zip(*found))
+
+
 @pytest.mark.parametrize("marks", [[0, 1], [0, 0, 1, 0, 0, 1], [1], [0, 0], [1, 1, 0]])
 def test_toxicity_with_few_labels(llm, no_docs, marks):
     texts = ["abc def ghi jkl", "a vile rotten thing"]
