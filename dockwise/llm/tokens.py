@@ -14,8 +14,11 @@ a running sum over one row per shard.
 Encoding is word by word through a bounded cache. That equals encoding the whole text for
 tokenizers that discard white space and never merge across it (``word_bpe_49k.json``):
 texts are cut only at U+0020 and U+000A, which no token, special token or normalization
-step spans. Plain Latin words go to the merge model after the tokenizer's own normalizer
-and byte mapping; anything else goes through the whole tokenizer.
+step spans. Texts are cut in Arrow, some megabytes at a time, and only the distinct words of
+such a part are looked up; their ids are then gathered in the order of the words. Latin words
+are looked up in lower case and without the ASCII punctuation behind them, which is a token
+sequence of its own. They go to the merge model after the tokenizer's own normalizer and byte
+mapping; anything else goes through the whole tokenizer.
 
 Defined cases: null or empty text holds the end id only; null ids come first; equal ids
 are ordered by a hash of the text; fully repeated rows are separate documents; an empty
@@ -29,9 +32,11 @@ import json
 import struct
 import zlib
 from collections.abc import Iterator
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -39,13 +44,13 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
-from dockwise.llm.common import filesystem, running_offsets, shared_folder, stage, texts, tidy
+from dockwise.llm.common import filesystem, running_offsets, shared_folder, stage, tidy
 
 MAGIC = b"DWTOK001"
 FOOTER = "<QQ8s"
 EXTENSION = ".tok"
-TAIL = frozenset(",.")
 LATIN_END = "ɐ"
+PART = 4 << 20  # bytes of text cut into words at a time
 
 
 class WordIds(dict):
@@ -55,9 +60,11 @@ class WordIds(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.model, self.normalizer = self.tokenizer.model, self.tokenizer.normalizer
-        self.mapping = ByteLevel(add_prefix_space=False, use_regex=False)
         self.limit, self.older = limit, {}
-        self.tails = {t: self._pack(self.tokenizer.encode(t, add_special_tokens=False).ids) for t in TAIL}
+        # Bytes without a printable character of their own have one beyond the first 256.
+        signs = set(ByteLevel.alphabet())
+        further = iter(sorted(c for c in signs if ord(c) > 255))
+        self.mapping = {b: next(further) for b in range(256) if chr(b) not in signs}
 
     @staticmethod
     def _pack(ids: list[int]) -> bytes:
@@ -66,11 +73,14 @@ class WordIds(dict):
     def __missing__(self, chunk: str) -> bytes:
         ids = self.older.get(chunk)
         if ids is None:
-            # Capitals and a comma or stop behind a word are not stored again.
-            if chunk[-1:] in TAIL and chunk[:-1].isalpha():
-                return self[chunk[:-1]] + self.tails[chunk[-1]]
-            if chunk.isascii() and chunk.isalpha() and not chunk.islower():
-                return self[chunk.lower()]
+            # Capitals and punctuation behind a word are not stored again.
+            word = chunk.rstrip(punctuation)
+            if word.isalpha():
+                if word != chunk:
+                    return self[word] + self[chunk[len(word) :]]
+                lower = word.lower()
+                if lower != word and lower.isalpha() and max(word) < LATIN_END:
+                    return self[lower]
             ids = self._encode(chunk)
         if len(self) >= self.limit:
             self.older = dict(self)
@@ -86,13 +96,35 @@ class WordIds(dict):
                 return self._pack([t.id for t in self.model.tokenize(chunk)])
             normal = self.normalizer.normalize_str(chunk)
             if normal.isalpha():
-                mapped = self.mapping.pre_tokenize_str(normal)[0][0]
+                mapped = normal.encode().decode("latin-1").translate(self.mapping)
                 return self._pack([t.id for t in self.model.tokenize(mapped)])
         return self._pack(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
 
+    def texts(self, column: pa.Array, end: bytes) -> Iterator[bytes]:
+        """Ids of each whole text of a column (null: empty) and the end id."""
+        ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        edges = [*np.flatnonzero(np.diff(ends // PART, prepend=-1)).tolist(), len(column)]
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            at, data = self._part(column.slice(a, b - a))
+            for x, y in zip(at[:-1], at[1:], strict=True):
+                yield data[x:y].tobytes() + end
+            del data
+            pa.default_memory_pool().release_unused()  # else every worker keeps what its largest part took
+
+    def _part(self, column: pa.Array) -> tuple[list[int], memoryview]:
+        """Ids of some texts, one after the other, and the places where texts begin and end."""
+        spaced = pc.replace_substring(pc.fill_null(column.cast(pa.large_string()), ""), "\n", " ")
+        words = pc.split_pattern(spaced, " ")
+        edges, coded = words.offsets.to_numpy(), words.flatten().dictionary_encode()
+        del spaced, words  # the texts are needed no more
+        of = pa.array([self[w] for w in coded.dictionary.to_pylist()], pa.large_binary())
+        ids = of.take(coded.indices)
+        at = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1)[edges].tolist()
+        return at, memoryview(ids.buffers()[2] or b"")
+
     def text(self, text: str, end: bytes) -> bytes:
         """Ids of a whole text and the end id."""
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" "))) + end
+        return next(self.texts(pa.array([text]), end))
 
 
 CACHE = 600_000
@@ -130,7 +162,7 @@ def train_dictionary(docs: DataFrame, tokenizer_json, end: bytes, sample_docs: i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = _encoder(tokenizer_json.value, cache)
         for batch in batches:
-            out = [ids.text(t.decode(), end)[: sample_bytes // sample_docs] for t in texts(batch)]
+            out = [x[: sample_bytes // sample_docs] for x in ids.texts(batch.column("text"), end)]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["ids"])
 
     # The cut is found on ids alone, so no task or driver merges more texts than the sample.
@@ -178,8 +210,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
             at = out.write(MAGIC + hashlib.sha256(dictionary.value).digest())
             at = len(MAGIC) + 32
             for batch in batches:
-                for doc_id, body in zip(batch.column("_id").to_pylist(), texts(batch), strict=True):
-                    ids = ids_of.text(body.decode(), end)
+                for doc_id, ids in zip(batch.column("_id").to_pylist(), ids_of.texts(batch.column("text"), end), strict=True):
                     frame = packer.compress(ids)
                     out.write(frame)
                     doc_ids.append(doc_id or 0)

@@ -5,10 +5,12 @@ import json
 import math
 import random
 import re
+import string
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import helpers as H
@@ -36,6 +38,28 @@ def test_word_ids_equal_the_tokenizer(tokenizer, rows):
         assert len(ids) <= 50 and len(ids.older) <= 50
 
 
+def test_words_of_a_column_are_looked_up_once(tokenizer, rows, monkeypatch):
+    ids = tokens.WordIds(open(queries.TOKENIZER, encoding="utf-8").read(), limit=5000)
+    # Forms of a word share what is encoded: the word, and the punctuation behind it.
+    encoded, encode = [], ids._encode
+    monkeypatch.setattr(ids, "_encode", lambda chunk: encoded.append(chunk) or encode(chunk))
+    forms = "été Été ÉTÉ été, Été!!! été$$$ ÉTÉ!!! word Word$$$ word! WORD!!! é1"
+    want = np.array(tokenizer.encode(forms, add_special_tokens=False).ids, "<u4").tobytes()
+    assert list(ids.texts(pa.array([forms, None, forms]), b"")) == [want, b"", want]
+    assert sorted(encoded) == sorted(["été", "word", ",", "!", "!!!", "$$$", "é1", ""])
+    # Of any cut into parts, also with every Latin letter and all punctuation behind a word.
+    letters = [chr(c) for c in range(0x250) if chr(c).isalpha()]
+    odd = [*ODD, " ".join(letters), " ".join(f"x{c}Y" for c in letters), " ".join(f"Ab{c}{d}" for c in string.punctuation for d in string.punctuation)]
+    column = [*odd, None, "", *(r[1] for r in rows)]
+    want = [np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 1], "<u4").tobytes() for t in column]
+    for part in (1, 300, 1 << 20):
+        monkeypatch.setattr(tokens, "PART", part)
+        for kind in (pa.string(), pa.large_string()):
+            assert list(ids.texts(pa.array(column, kind), want[len(odd)])) == want
+            assert list(ids.texts(pa.array(column, kind).slice(3), want[len(odd)])) == want[3:]
+    assert list(ids.texts(pa.array([], pa.string()), b"")) == []
+
+
 def test_shards_round_trip(llm, docs, rows, tokenizer):
     folder = common.shared_folder(llm, "test-tokens")
     manifest = tokens.write_shards(docs, folder, queries.TOKENIZER)
